@@ -1,0 +1,27 @@
+"""Publish the part of a source that is above the watermark."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+
+from pyspark.sql import DataFrame
+
+from ledgerloom.operators.sync_state import SyncStateStore, advance, chain_tips, pending
+from ledgerloom.schemas import BLOCKS, ENTITIES
+from ledgerloom.sources.feeds import Feed
+
+
+def publish_pending(tables: Mapping[str, DataFrame], feed: Feed, store: SyncStateStore) -> None:
+    """Send the rows of every new block to the feed, then move the watermarks.
+
+    The new watermarks are fixed first and bound the rows from above, so a
+    block that arrives meanwhile waits for the next run. They take effect only
+    after all messages are out: a failed run is repeated in full, and its
+    messages may then come twice.
+    """
+    state = store.read()
+    number = store.stage(advance(state, chain_tips(tables[BLOCKS.table])))
+    upto = store.staged(number)
+    for table, rows in tables.items():
+        feed.publish(pending(rows, state, upto=upto), ENTITIES[table])
+    store.commit(number)
