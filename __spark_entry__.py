@@ -16,7 +16,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 import fixtures  # noqa: E402
 from ledgerloom.functions.codec import accepted, decode, encode, rejected  # noqa: E402
-from ledgerloom.functions.columns import amount_or_zero, json_long  # noqa: E402
+from ledgerloom.functions.columns import json_long, normalize_amount  # noqa: E402
 from ledgerloom.operators import bundle, quality, sync_state  # noqa: E402
 from ledgerloom.operators.dedup import dedup_latest  # noqa: E402
 from ledgerloom.plans import models, reports  # noqa: E402
@@ -96,13 +96,10 @@ def _normalize_amount(spark: SparkSession, sf: str) -> DataFrame:
         .when(form == 4, F.concat(F.lit("-"), part, F.lit(".5e-3")))
         .when(F.col("l_suppkey") % 2 == 0, F.rpad(F.concat(F.lit("1"), part), 78, "7"))
     )
-    return items.select(
-        "l_orderkey",
-        "l_linenumber",
-        "l_partkey",
-        "l_suppkey",
-        amount_or_zero(amount).alias("amount"),
+    amounts = items.select(
+        "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", amount.alias("amount")
     )
+    return normalize_amount(amounts, "amount")
 
 
 def _json_path_cast(spark: SparkSession, sf: str) -> DataFrame:

@@ -66,13 +66,13 @@ def block_tx_counts_by_chain(blocks: DataFrame, txs: DataFrame) -> DataFrame:
 def top_blocks(blocks: DataFrame, txs: DataFrame, k: int = 5) -> DataFrame:
     """The k highest rows of `block_tx_counts`.
 
-    Which rows these are is known from the blocks alone, so both tables are
-    cut down to those block numbers before the join.
+    They lie within the k highest block numbers, which the blocks alone tell,
+    so both tables are cut down to those before the join.
     """
     order = [F.desc_nulls_last("blockNumber"), F.asc_nulls_first("miner")]
-    top = blocks.select("blockNumber", "miner").distinct().orderBy(*order).limit(k)
-    lowest = top.agg(F.min("blockNumber")).scalar()
     number = F.col("blockNumber")
+    highest = blocks.select(number).distinct().orderBy(number.desc_nulls_last()).limit(k)
+    lowest = highest.agg(F.min("blockNumber")).scalar()
     # A block without a number sorts last and matters only in a short table.
     counted = block_tx_counts(
         blocks.where((number >= lowest) | number.isNull()), txs.where(number >= lowest)

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType
 
 from ledgerloom.functions.codec import accepted, decode, rejected
-from ledgerloom.functions.columns import amount_or_zero, shard_of
+from ledgerloom.functions.columns import normalize_amount, shard_of
 from ledgerloom.schemas import ENTITIES, OK, RAW, STATUS, TEXT, Entity
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.streaming.bronze import DEFAULT_TRIGGER
@@ -29,7 +29,7 @@ def speed_rows(messages: DataFrame, entity: Entity, shards: int) -> DataFrame:
     """Decoded messages under store names, amounts in plain digits, with their shard."""
     rows = decode(messages, entity, check_amount=True)
     if entity.amount:
-        rows = rows.withColumn(entity.amount, amount_or_zero(F.col(entity.amount)))
+        rows = normalize_amount(rows, entity.amount)
     return rows.withColumnsRenamed(entity.store_columns).withColumn(
         "shard", F.when(F.col(STATUS) == OK, shard_of(F.col("block_number"), shards))
     )
