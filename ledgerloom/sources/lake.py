@@ -89,9 +89,14 @@ def with_source_path(scan: DataFrame, root: str) -> DataFrame:
 
 
 def relative_path(file_path: Column, root: str) -> Column:
-    # file_path is a percent-encoded URI, however the root was written, so the
-    # paths are compared without scheme and authority.
-    prefix = quote(urlparse(root).path.rstrip("/")) + "/"
-    path = F.regexp_replace(file_path, r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
-    inside = F.substring(path, F.lit(len(prefix) + 1), F.length(path))
-    return F.when(F.startswith(path, F.lit(prefix)), inside).otherwise(file_path)
+    # file_path is a percent-encoded URI. A root written without a scheme gets
+    # one there, so the match is on what follows it; the search and the cut
+    # are the only work per row.
+    where = urlparse(root)
+    bucket = f"//{where.netloc}" if where.netloc else ""
+    prefix = f"{bucket}{quote(where.path.rstrip('/'))}/"
+    if prefix == "/":
+        return file_path
+    at = F.instr(file_path, prefix)
+    inside = F.substring(file_path, at + len(prefix), F.length(file_path))
+    return F.when(at > 0, inside).otherwise(file_path)

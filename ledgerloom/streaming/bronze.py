@@ -1,8 +1,12 @@
 """Message topics -> bronze tables, one stream per table.
 
-Each stream is map-only. Accepted and rejected rows leave in the same pass,
-told apart by the leading partition column `status`, so nothing is read or
-parsed twice and both share the sink's exactly-once log.
+Accepted and rejected rows leave in the same pass, told apart by the leading
+partition column `status`, so nothing is read or parsed twice and both share
+the sink's exactly-once log.
+
+A stream is map-only by default: each task writes a file per chain and date it
+meets. `files_per_partition` trades a shuffle of the micro-batch for fewer
+files, which pays off with many tasks or when a long backlog is read.
 """
 
 from __future__ import annotations
@@ -14,7 +18,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ledgerloom.functions.codec import decode
 from ledgerloom.functions.columns import partition_date
-from ledgerloom.schemas import ENTITIES, OK, STATUS, Entity
+from ledgerloom.schemas import ENTITIES, OK, RAW, STATUS, Entity
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.sources.lake import Lake
 
@@ -35,12 +39,27 @@ def bronze_rows(messages: DataFrame, entity: Entity) -> DataFrame:
     )
 
 
+def gather(rows: DataFrame, entity: Entity, files_per_partition: int) -> DataFrame:
+    """Bring the rows of a chain and date to at most `files_per_partition`
+    tasks, spread by key, so that a hot chain still has several writers."""
+    spread = F.xxhash64(*[F.col(c) for c in entity.natural_key], F.col(RAW))
+    return rows.repartition(
+        *[F.col(c) for c in PARTITIONS], F.pmod(spread, F.lit(files_per_partition))
+    )
+
+
 def start_bronze_stream(
-    feed: Feed, lake: Lake, entity: Entity, trigger: dict | None = None
+    feed: Feed,
+    lake: Lake,
+    entity: Entity,
+    trigger: dict | None = None,
+    files_per_partition: int | None = None,
 ) -> StreamingQuery:
+    rows = bronze_rows(feed.stream(lake.spark, entity), entity)
+    if files_per_partition:
+        rows = gather(rows, entity, files_per_partition)
     return (
-        bronze_rows(feed.stream(lake.spark, entity), entity)
-        .writeStream.queryName(f"bronze-{entity.table}")
+        rows.writeStream.queryName(f"bronze-{entity.table}")
         .format(lake.table_format)
         .outputMode("append")
         .partitionBy(*PARTITIONS)
@@ -56,9 +75,13 @@ def start_bronze(
     lake: Lake,
     tables: Iterable[str] = tuple(ENTITIES),
     trigger: dict | None = None,
+    files_per_partition: int | None = None,
 ) -> list[StreamingQuery]:
     """Start the streams of several tables side by side in one session."""
-    return [start_bronze_stream(feed, lake, ENTITIES[t], trigger) for t in tables]
+    return [
+        start_bronze_stream(feed, lake, ENTITIES[t], trigger, files_per_partition)
+        for t in tables
+    ]
 
 
 def await_any(spark: SparkSession, queries: Iterable[StreamingQuery]) -> None:

@@ -15,7 +15,7 @@ from pyspark.sql.types import IntegerType
 
 from ledgerloom.functions.codec import accepted, decode, rejected
 from ledgerloom.functions.columns import normalize_amount, shard_of
-from ledgerloom.schemas import ENTITIES, OK, RAW, STATUS, TEXT, Entity
+from ledgerloom.schemas import ENTITIES, LONG, OK, RAW, STATUS, TEXT, Entity
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.streaming.bronze import DEFAULT_TRIGGER
 
@@ -70,7 +70,7 @@ class SpeedStore:
         schema = (
             entity.store_schema.add(RAW, TEXT)
             .add("run_id", TEXT)
-            .add("batch_id", "bigint")
+            .add("batch_id", LONG)
             .add(STATUS, TEXT)
             .add("shard", IntegerType())
         )
