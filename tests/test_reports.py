@@ -1,7 +1,6 @@
 """Reports on hand-made and random tables against the plain SQL they stand for."""
 
 import random
-import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -217,6 +216,7 @@ def test_hot_join_key_is_split(spark):
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20k",
         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20k",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
     }
     hot = spark.range(20_000).select(
         F.lit("bsc").alias("chainName"),
@@ -247,7 +247,7 @@ def test_hot_join_key_is_split(spark):
     expected_hot = txs.where("blockNumber = 7").count()
     expected_cold = txs.where("blockNumber >= 100").count()
     assert (total, n) == (20_000 * expected_hot + expected_cold, 40_000)
-    assert re.search(r"SortMergeJoin\(skew=true\)|skew=true|isSkew", plan), plan
+    assert "SortMergeJoin(skew=true)" in plan
 
 
 def test_blocks_schema_is_enough(spark):
