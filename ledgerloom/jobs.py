@@ -10,6 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import SparkSession
 
+from ledgerloom import fixed
 from ledgerloom.operators.sync_state import SyncStateStore
 from ledgerloom.plans import compaction, daily, models, reports
 from ledgerloom.plans.publish import publish_pending
@@ -18,7 +19,7 @@ from ledgerloom.session import build_session
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.sources.lake import Lake
 from ledgerloom.streaming.bronze import await_all, await_any, start_bronze
-from ledgerloom.streaming.speed import DEFAULT_SHARDS, SpeedStore, start_speed
+from ledgerloom.streaming.speed import SpeedStore, start_speed
 
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -50,7 +51,7 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     reports.chain_tip(blocks).show()
     reports.top_blocks(blocks, txs).show(truncate=False)
     if args.whales:
-        models.ranked(lake.read("gold", daily.GOLD)).show(truncate=False)
+        models.ranked(lake.read("gold", fixed.GOLD_WHALES)).show(truncate=False)
 
 
 def run_daily(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -93,7 +94,7 @@ def parser() -> argparse.ArgumentParser:
             job.add_argument("--feed-location", required=True)
             job.add_argument("--feed-option", action="append", default=[], metavar="KEY=VALUE")
         if stream:
-            job.add_argument("--every", default="10 seconds", help="trigger interval")
+            job.add_argument("--every", default=fixed.TRIGGER_INTERVAL, help="trigger interval")
             job.add_argument("--once", action="store_true", help="read what is there and stop")
         if tables:
             job.add_argument("--tables", nargs="+", default=list(ENTITIES), choices=list(ENTITIES))
@@ -102,16 +103,16 @@ def parser() -> argparse.ArgumentParser:
     job = add("ingest", ingest, feed=True, stream=True, tables=True)
     job.add_argument("--files-per-partition", type=int)
     job = add("speed", speed, feed=True, stream=True, tables=True)
-    job.add_argument("--shards", type=int, default=DEFAULT_SHARDS)
+    job.add_argument("--shards", type=int, default=fixed.SHARDS)
     job = add("report", report)
     job.add_argument("--whales", action="store_true")
     job = add("daily", run_daily)
-    job.add_argument("--chains", nargs="+", default=list(daily.ACCEPTED_CHAINS))
-    job.add_argument("--threshold", type=int, default=models.WHALE_THRESHOLD)
+    job.add_argument("--chains", nargs="+", default=list(fixed.ACCEPTED_CHAINS))
+    job.add_argument("--threshold", type=int, default=fixed.WHALE_THRESHOLD)
     add("compact", compact, tables=True)
     job = add("publish", publish, feed=True)
     job.add_argument("--state", required=True, help="directory of the watermark table")
-    job.add_argument("--chains", nargs="+", default=["ethereum", "bsc"])
+    job.add_argument("--chains", nargs="+", default=list(fixed.PUBLISHED_CHAINS))
     return top
 
 

@@ -7,11 +7,10 @@ from collections.abc import Iterable
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from ledgerloom.fixed import START_BLOCK
 from ledgerloom.operators.joins import broadcast_if_small
 from ledgerloom.schemas import SYNC_STATE_SCHEMA
 
-START_BLOCK = 10_000
-
 
 def high_watermark(state: DataFrame, task: str) -> DataFrame:
     """Last processed block of one task; no row if the task is unknown."""

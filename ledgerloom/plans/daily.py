@@ -6,14 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
+from ledgerloom.fixed import (
+    ACCEPTED_CHAINS,
+    GOLD_WHALES,
+    SILVER_TRANSACTIONS,
+    WHALE_THRESHOLD,
+)
 from ledgerloom.operators.quality import TableTests, require
-from ledgerloom.plans.models import WHALE_THRESHOLD, silver_transactions, whale_wallets
+from ledgerloom.plans.models import silver_transactions, whale_wallets
 from ledgerloom.sources.lake import Lake
 
-ACCEPTED_CHAINS = ("ethereum", "bsc", "polygon")
-SILVER = "stg_transactions"
-GOLD = "mart_smart_money"
-
 
 def silver_tests(chains: Sequence[str] = ACCEPTED_CHAINS) -> TableTests:
     return TableTests(not_null=("tx_value",), accepted={"chain_name": chains})
@@ -23,11 +25,11 @@ def build_silver(lake: Lake) -> DataFrame:
     """Rebuild silver from bronze. Map-only: bronze files already belong to
     one chain and date, so the partitioned write needs no shuffle."""
     rows = silver_transactions(lake.bronze("transactions", lineage=True))
-    return lake.replace(rows, "silver", SILVER, partition_by=("chain_name", "partition_date"))
+    return lake.replace(rows, "silver", SILVER_TRANSACTIONS, partition_by=("chain_name", "partition_date"))
 
 
 def build_gold(lake: Lake, silver: DataFrame, threshold: int = WHALE_THRESHOLD) -> DataFrame:
-    return lake.replace(whale_wallets(silver, threshold), "gold", GOLD)
+    return lake.replace(whale_wallets(silver, threshold), "gold", GOLD_WHALES)
 
 
 def run_daily(
@@ -37,5 +39,5 @@ def run_daily(
 ) -> DataFrame:
     """Raises QualityError, and leaves gold as it was, if silver fails a test."""
     silver = build_silver(lake)
-    require(silver, SILVER, silver_tests(chains))
+    require(silver, SILVER_TRANSACTIONS, silver_tests(chains))
     return build_gold(lake, silver, threshold)

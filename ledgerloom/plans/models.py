@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-WHALE_THRESHOLD = 5
+from ledgerloom.fixed import WHALE_THRESHOLD
 
 
 def silver_transactions(txs: DataFrame) -> DataFrame:

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ledgerloom.fixed import REPORT_ROWS, SHARDS
 from ledgerloom.functions.columns import partition_date, shard_of
 
 LATEST = ["chainName", "blockNumber", "txHash", "from", "to", "value"]
 BLOCK_KEY = ["chainName", "blockNumber"]
 
 
-def latest_transactions(txs: DataFrame, k: int = 5) -> DataFrame:
+def latest_transactions(txs: DataFrame, k: int = REPORT_ROWS) -> DataFrame:
     """The k newest transactions; ties by hash, rows without a time last.
 
     A first pass over the timestamp column alone finds the k-th newest time.
@@ -63,7 +64,7 @@ def block_tx_counts_by_chain(blocks: DataFrame, txs: DataFrame) -> DataFrame:
     )
 
 
-def top_blocks(blocks: DataFrame, txs: DataFrame, k: int = 5) -> DataFrame:
+def top_blocks(blocks: DataFrame, txs: DataFrame, k: int = REPORT_ROWS) -> DataFrame:
     """The k highest rows of `block_tx_counts`.
 
     They lie within the k highest block numbers, which the blocks alone tell,
@@ -80,7 +81,7 @@ def top_blocks(blocks: DataFrame, txs: DataFrame, k: int = 5) -> DataFrame:
     return counted.orderBy(*order).limit(k)
 
 
-def shard_counts(blocks: DataFrame, shards: int = 2) -> DataFrame:
+def shard_counts(blocks: DataFrame, shards: int = SHARDS) -> DataFrame:
     return (
         blocks.groupBy(shard_of(F.col("blockNumber"), shards).alias("shard"))
         .agg(F.count("*").alias("n_rows"))

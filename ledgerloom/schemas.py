@@ -18,6 +18,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
+from ledgerloom import fixed
+
 LONG = LongType()
 TEXT = StringType()
 
@@ -87,7 +89,7 @@ class Entity:
 
 BLOCKS = Entity(
     table="blocks",
-    topic="topic_raw_blocks",
+    topic=fixed.TOPIC_BLOCKS,
     message_key="blockHash",
     fields=(
         ("chainName", TEXT),
@@ -105,7 +107,7 @@ BLOCKS = Entity(
 
 TRANSACTIONS = Entity(
     table="transactions",
-    topic="topic_raw_transactions",
+    topic=fixed.TOPIC_TRANSACTIONS,
     message_key="txHash",
     fields=(
         ("chainName", TEXT),
@@ -125,7 +127,7 @@ TRANSACTIONS = Entity(
 
 LOGS = Entity(
     table="logs",
-    topic="topic_raw_logs",
+    topic=fixed.TOPIC_LOGS,
     message_key="address",
     fields=(
         ("chainName", TEXT),

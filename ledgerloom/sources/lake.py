@@ -98,5 +98,4 @@ def relative_path(file_path: Column, root: str) -> Column:
     if prefix == "/":
         return file_path
     at = F.instr(file_path, prefix)
-    inside = F.substring(file_path, at + len(prefix), F.length(file_path))
-    return F.when(at > 0, inside).otherwise(file_path)
+    return F.when(at > 0, F.substr(file_path, at + len(prefix))).otherwise(file_path)

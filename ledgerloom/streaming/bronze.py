@@ -16,13 +16,14 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ledgerloom.fixed import TRIGGER_INTERVAL
 from ledgerloom.functions.codec import decode
 from ledgerloom.functions.columns import partition_date
 from ledgerloom.schemas import ENTITIES, OK, RAW, STATUS, Entity
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.sources.lake import Lake
 
-DEFAULT_TRIGGER = {"processingTime": "10 seconds"}
+DEFAULT_TRIGGER = {"processingTime": TRIGGER_INTERVAL}
 PARTITIONS = (STATUS, "chainName", "dt")
 
 

@@ -13,15 +13,13 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType
 
+from ledgerloom.fixed import JDBC_BATCH_ROWS, SHARDS
 from ledgerloom.functions.codec import accepted, decode, rejected
 from ledgerloom.functions.columns import normalize_amount, shard_of
 from ledgerloom.schemas import ENTITIES, LONG, OK, RAW, STATUS, TEXT, Entity
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.streaming.bronze import DEFAULT_TRIGGER
 
-DEFAULT_SHARDS = 2
-JDBC_BATCH_ROWS = 1000
-
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -38,7 +36,7 @@ def speed_rows(messages: DataFrame, entity: Entity, shards: int) -> DataFrame:
 @dataclass(frozen=True)
 class SpeedStore:
     root: str
-    shards: int = DEFAULT_SHARDS
+    shards: int = SHARDS
     table_format: str = "parquet"
     max_rows_per_file: int = 5_000_000
 

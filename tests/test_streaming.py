@@ -185,13 +185,14 @@ def test_jdbc_writer_routes_rows_by_shard(spark):
     assert sent == {"jdbc:x://a": [0, 2, 4, 6, 8], "jdbc:x://b": [1, 3, 5, 7, 9]}
 
 
-def test_stream_dedup(spark, tmp_path):
-    lines = [json.dumps(tx(1)), json.dumps(tx(1)), json.dumps(tx(2))]
+@pytest.mark.parametrize("spread", [None, 4])
+def test_stream_dedup(spark, tmp_path, spread):
+    lines = [json.dumps(tx(1))] * 40 + [json.dumps(tx(2))]
     write_lines(tmp_path / "feed" / TRANSACTIONS.topic, "1.txt", lines)
     feed = Feed("files", str(tmp_path / "feed"))
     rows = bronze_rows(feed.stream(spark, TRANSACTIONS), TRANSACTIONS)
     query = (
-        dedup_stream(rows, TRANSACTIONS.natural_key, "timestamp", "1 hour")
+        dedup_stream(rows, TRANSACTIONS.natural_key, "timestamp", "1 hour", spread)
         .writeStream.format("parquet")
         .option("path", str(tmp_path / "out"))
         .option("checkpointLocation", str(tmp_path / "point"))
@@ -218,6 +219,45 @@ def test_publish_then_read_back(spark, tmp_path):
     assert json.loads(text)["topic1"] is None, "absent fields are written as null"
 
 
+class FakeReader:
+    """Takes the calls of a DataFrameReader and remembers them."""
+
+    def __init__(self, messages):
+        self.messages, self.seen = messages, {}
+
+    def format(self, name):
+        self.seen["format"] = name
+        return self
+
+    def option(self, key, value):
+        self.seen[key] = value
+        return self
+
+    def options(self, **values):
+        self.seen.update(values)
+        return self
+
+    def load(self):
+        return self.messages
+
+
+def test_kafka_feed_options(spark):
+    # There is no Kafka connector here: only what it would be asked for.
+    messages = spark.sql("SELECT CAST('k' AS BINARY) AS key, CAST('{}' AS BINARY) AS value")
+    reader = FakeReader(messages)
+    feed = Feed("kafka", "broker:9092", {"maxOffsetsPerTrigger": "500"})
+    values = feed._load(reader, LOGS)
+    assert [r.value for r in values.collect()] == ["{}"] and values.columns == ["value"]
+    assert reader.seen == {
+        "format": "kafka",
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "topic_raw_logs",
+        "startingOffsets": "earliest",
+        "maxRecordsPerPartition": "1000000",
+        "maxOffsetsPerTrigger": "500",
+    }
+
+
 def test_feed_kinds():
     with pytest.raises(ValueError):
         Feed("socket", "x")
