@@ -119,12 +119,16 @@ def _on(report: Callable[..., DataFrame], *tables: str) -> Query:
     return lambda spark, sf: report(*[fixtures.entity(spark, sf, t) for t in tables])
 
 
-def _silver(spark: SparkSession, sf: str) -> DataFrame:
+def _silver(spark: SparkSession, sf: str, lineage: bool = False) -> DataFrame:
     return models.silver_transactions(
-        fixtures.entity(spark, sf, "transactions", lineage=True)
+        fixtures.entity(spark, sf, "transactions", lineage=lineage)
     )
 
 
+def _silver_with_files(spark: SparkSession, sf: str) -> DataFrame:
+    return _silver(spark, sf, lineage=True)
+
+
 def _whales(spark: SparkSession, sf: str) -> DataFrame:
     return models.ranked(models.whale_wallets(_silver(spark, sf)))
 
@@ -203,7 +207,7 @@ def queries() -> dict[str, Query]:
             reports.block_tx_counts_by_chain, "blocks", "transactions"
         ),
         "top_blocks": _on(reports.top_blocks, "blocks", "transactions"),
-        "silver_transactions": _silver,
+        "silver_transactions": _silver_with_files,
         "whale_wallets": _whales,
         "dedup_latest": _dedup_latest,
         "watermark_read": _watermark_read,

@@ -11,6 +11,9 @@ from ledgerloom.fixed import START_BLOCK
 from ledgerloom.operators.joins import broadcast_if_small
 from ledgerloom.schemas import SYNC_STATE_SCHEMA
 
+# Up to this many chains, `pending` spells the watermarks out in its filter.
+MAX_FILTER_CHAINS = 100
+
 
 def high_watermark(state: DataFrame, task: str) -> DataFrame:
     """Last processed block of one task; no row if the task is unknown."""
@@ -72,23 +75,48 @@ def pending(
     """Rows above the watermark of their chain (above `start_block` if the
     chain has none) and, given `upto`, not above the watermark there.
 
-    State holds one row per chain and is broadcast after a count, so the rows
-    are not shuffled by chain, a key with a handful of hot values.
+    A handful of chains, as is usual, becomes a plain filter: the block ranges
+    reach the scan as row-group filters and nothing is joined or shuffled. For
+    more chains than that it is a join with the state.
     """
-    low = state.select(
-        F.col("task_name").alias(chain), F.col("last_processed_block").alias("_low")
+    ranges = _ranges(state, upto, start_block)
+    few = ranges.limit(MAX_FILTER_CHAINS + 1).collect()
+    if len(few) > MAX_FILTER_CHAINS:
+        return _pending_by_join(rows, ranges, upto is not None, start_block, chain, block)
+
+    number, name = F.col(block), F.col(chain)
+    wanted = F.lit(False)
+    for r in few:
+        inside = (name == r.task_name) & (number > r.low)
+        wanted = wanted | (inside if upto is None else inside & (number <= r.high))
+    if upto is None:
+        known = name.isin(*[r.task_name for r in few])
+        wanted = wanted | ((name.isNull() | ~known) & (number > start_block))
+    return rows.where(wanted)
+
+
+def _ranges(state: DataFrame, upto: DataFrame | None, start_block: int) -> DataFrame:
+    """Per task the open block range (low, high]."""
+    low = state.select("task_name", F.col("last_processed_block").alias("low"))
+    if upto is None:
+        return low.withColumn("high", F.lit(None).cast("bigint"))
+    high = upto.select("task_name", F.col("last_processed_block").alias("high"))
+    return high.join(low, "task_name", "left").select(
+        "task_name", F.coalesce("low", F.lit(start_block)).alias("low"), "high"
     )
-    found = rows.join(broadcast_if_small(low), chain, "left").where(
-        F.col(block) > F.coalesce("_low", F.lit(start_block))
+
+
+def _pending_by_join(
+    rows: DataFrame, ranges: DataFrame, bounded: bool, start_block: int, chain: str, block: str
+) -> DataFrame:
+    side = ranges.select(
+        F.col("task_name").alias(chain), F.col("low").alias("_low"), F.col("high").alias("_high")
     )
-    if upto is not None:
-        high = upto.select(
-            F.col("task_name").alias(chain), F.col("last_processed_block").alias("_high")
-        )
-        found = found.join(broadcast_if_small(high), chain).where(
-            F.col(block) <= F.col("_high")
-        )
-    return found.select(*[F.col(f"`{c}`") for c in rows.columns])
+    joined = rows.join(broadcast_if_small(side), chain, "inner" if bounded else "left")
+    wanted = F.col(block) > F.coalesce("_low", F.lit(start_block))
+    if bounded:
+        wanted = wanted & (F.col(block) <= F.col("_high"))
+    return joined.where(wanted).select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
 class SyncStateStore:

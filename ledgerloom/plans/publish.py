@@ -20,7 +20,8 @@ def publish_pending(tables: Mapping[str, DataFrame], feed: Feed, store: SyncStat
     messages may then come twice.
     """
     state = store.read()
-    number = store.stage(advance(state, chain_tips(tables[BLOCKS.table])))
+    reached = chain_tips(pending(tables[BLOCKS.table], state))
+    number = store.stage(advance(state, reached))
     upto = store.staged(number)
     for table, rows in tables.items():
         feed.publish(pending(rows, state, upto=upto), ENTITIES[table])

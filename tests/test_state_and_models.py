@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from ledgerloom.operators import quality
+from ledgerloom.operators import quality, sync_state
 from ledgerloom.operators.bundle import BUNDLE_SCHEMA, split_bundles
 from ledgerloom.operators.joins import broadcast_if_small
 from ledgerloom.operators.sync_state import (
@@ -76,7 +76,38 @@ def test_pending(spark, state):
     )
     found = sorted(map(tuple, pending(rows, state).collect()))
     assert found == [("ethereum", 10051), ("polygon", 10001)]
-    assert "BroadcastHashJoin" in plan_of(pending(rows, state))
+    assert "Join" not in plan_of(pending(rows, state))
+
+
+@pytest.mark.parametrize("limit", [100, 1, 0])
+def test_pending_by_filter_and_by_join_agree(spark, state, monkeypatch, limit):
+    monkeypatch.setattr(sync_state, "MAX_FILTER_CHAINS", limit)
+    numbers = [1, 10_000, 10_001, 10_050, 10_051, 10_060, 10_061, 20_000, 20_001, None]
+    rows = block_numbers(
+        spark, [(c, n) for c in ("ethereum", "bsc", "polygon", None) for n in numbers]
+    )
+    low = {"ethereum": 10_050, "bsc": 20_000}
+    expected = {
+        (c, n) for c, n in map(tuple, rows.collect()) if n and n > low.get(c, 10_000)
+    }
+    found = pending(rows, state)
+    assert ("Join" in plan_of(found)) == (limit < 2)
+    assert set(map(tuple, found.collect())) == expected
+
+    tips = block_numbers(spark, [("ethereum", 10_060), ("polygon", 10_050)])
+    upto = advance(state, chain_tips(tips))
+    high = {"ethereum": 10_060, "bsc": 20_000, "polygon": 10_050}
+    expected = {(c, n) for c, n in expected if c in high and n <= high[c]}
+    assert set(map(tuple, pending(rows, state, upto=upto).collect())) == expected
+
+
+def test_pending_reaches_the_scan(spark, state, tmp_path):
+    path = str(tmp_path / "blocks")
+    rows = spark.range(100).select(F.lit("bsc").alias("chainName"), F.col("id").alias("blockNumber"))
+    rows.write.partitionBy("chainName").parquet(path)
+    upto = advance(state, chain_tips(block_numbers(spark, [("bsc", 20_010)])))
+    found = pending(spark.read.parquet(path), state, upto=upto)
+    assert "GreaterThan(blockNumber,20000)" in plan_of(found).replace(" ", "")
 
 
 def test_small_side_is_broadcast_only_if_it_is_small(spark):
