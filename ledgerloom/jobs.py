@@ -61,14 +61,10 @@ def run_daily(spark: SparkSession, args: argparse.Namespace) -> None:
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
     """Rewrite the speed store as sorted tables without repeats."""
+    lake = Lake(spark, args.root, args.table_format)
     store = SpeedStore(f"{args.root}/speed", table_format=args.table_format)
     for table in args.tables:
-        compaction.compact(
-            store.read(spark, table),
-            ENTITIES[table],
-            f"{args.root}/compacted/{table}",
-            args.table_format,
-        )
+        compaction.compact(store.read(spark, table), ENTITIES[table], lake)
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:

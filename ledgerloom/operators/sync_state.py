@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.fixed import START_BLOCK
 from ledgerloom.operators.joins import broadcast_if_small
 from ledgerloom.schemas import SYNC_STATE_SCHEMA
+from ledgerloom.sources.versioned import VersionedTable
 
 # Up to this many chains, `pending` spells the watermarks out in its filter.
 MAX_FILTER_CHAINS = 100
@@ -119,54 +119,12 @@ def _pending_by_join(
     return joined.where(wanted).select(*[F.col(f"`{c}`") for c in rows.columns])
 
 
-class SyncStateStore:
-    """State as numbered versions of a small table.
-
-    A version counts only once its number is in `commits`, so a reader never
-    sees a half-written one and a failed run leaves the old state in force.
-    One writer at a time.
-    """
+class SyncStateStore(VersionedTable):
+    """The state as a small table that is replaced at every step."""
 
     def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def version(self) -> int:
-        try:
-            commits = self.spark.read.schema("version INT").parquet(f"{self.root}/commits")
-            return commits.agg(F.max("version")).first()[0] or 0
-        except AnalysisException as e:
-            if e.getCondition() == "PATH_NOT_FOUND":
-                return 0
-            raise
-
-    def read(self) -> DataFrame:
-        return self._read(self.version())
-
-    def stage(self, state: DataFrame) -> int:
-        """Write the next version without making it current."""
-        number = self.version() + 1
-        state.coalesce(1).write.mode("overwrite").parquet(self._path(number))
-        return number
-
-    def staged(self, number: int) -> DataFrame:
-        return self._read(number)
-
-    def commit(self, number: int) -> None:
-        done = self.spark.range(1).select(F.lit(number).cast("int").alias("version"))
-        done.coalesce(1).write.mode("append").parquet(f"{self.root}/commits")
-
-    def replace(self, state: DataFrame) -> None:
-        self.commit(self.stage(state))
+        super().__init__(spark, root, SYNC_STATE_SCHEMA)
 
     def init(self, tasks: Iterable[str], start_block: int = START_BLOCK) -> None:
         wanted = self.spark.createDataFrame([(t,) for t in tasks], "task_name STRING")
-        self.replace(init_tasks(self.read(), wanted, start_block))
-
-    def _read(self, number: int) -> DataFrame:
-        if number == 0:
-            return self.spark.createDataFrame([], SYNC_STATE_SCHEMA)
-        return self.spark.read.schema(SYNC_STATE_SCHEMA).parquet(self._path(number))
-
-    def _path(self, number: int) -> str:
-        return f"{self.root}/v={number}"
+        self.replace(init_tasks(self.read(), wanted, start_block).coalesce(1))

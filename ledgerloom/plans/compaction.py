@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.operators.dedup import dedup_ingested
 from ledgerloom.schemas import Entity
+from ledgerloom.sources.lake import Lake
 
+COMPACTED = "compacted"
 BUCKET_KEY = ("chain_name", "block_number")
 _LARGEST = "ledgerloom.largest_bucket_share"
 
@@ -31,21 +33,11 @@ def store_layout(rows: DataFrame, entity: Entity, partitions: int | None = None)
 
 
 def compact(
-    rows: DataFrame,
-    entity: Entity,
-    path: str,
-    table_format: str = "parquet",
-    partitions: int | None = None,
-) -> None:
-    """Write the layout to `path`, one directory per chain. `path` must not be
-    one that `rows` reads or that a stream writes."""
-    (
-        store_layout(rows, entity, partitions)
-        .write.format(table_format)
-        .mode("overwrite")
-        .option("partitionOverwriteMode", "static")
-        .partitionBy("chain_name")
-        .save(path)
+    rows: DataFrame, entity: Entity, lake: Lake, partitions: int | None = None
+) -> DataFrame:
+    """Replace the lake's compacted table, one directory per chain."""
+    return lake.replace(
+        store_layout(rows, entity, partitions), COMPACTED, entity.table, ["chain_name"]
     )
 
 

@@ -21,7 +21,7 @@ def publish_pending(tables: Mapping[str, DataFrame], feed: Feed, store: SyncStat
     """
     state = store.read()
     reached = chain_tips(pending(tables[BLOCKS.table], state))
-    number = store.stage(advance(state, reached))
+    number = store.stage(advance(state, reached).coalesce(1))
     upto = store.staged(number)
     for table, rows in tables.items():
         feed.publish(pending(rows, state, upto=upto), ENTITIES[table])

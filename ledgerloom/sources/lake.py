@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ledgerloom.functions.codec import accepted, rejected
 from ledgerloom.schemas import ENTITIES
+from ledgerloom.sources.versioned import VersionedTable
 
 
 class Lake:
@@ -42,21 +43,28 @@ class Lake:
         for table in ENTITIES:
             self.bronze(table).createOrReplaceTempView(table)
 
-    def read(self, layer: str, table: str) -> DataFrame:
+    def read(self, layer: str, table: str, schema: StructType | None = None) -> DataFrame:
+        """A replaced table as it is now. The schema is needed only for a
+        partitioned table that may be empty."""
+        if self.table_format == "parquet":
+            return VersionedTable(self.spark, self.path(layer, table), schema).read()
         return self.spark.read.format(self.table_format).load(self.path(layer, table))
 
     def replace(
         self, rows: DataFrame, layer: str, table: str, partition_by: Sequence[str] = ()
     ) -> DataFrame:
-        """Materialise a model: the table is replaced as a whole. `rows` must
-        not read the table itself."""
-        writer = rows.write.format(self.table_format).mode("overwrite")
-        # A session that overwrites partition by partition would keep old ones.
-        writer = writer.option("partitionOverwriteMode", "static")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.save(self.path(layer, table))
-        return self.read(layer, table)
+        """Materialise a model: the table is replaced as a whole, and the old
+        one stays in force until the new one is complete."""
+        if self.table_format == "parquet":
+            VersionedTable(self.spark, self.path(layer, table)).replace(rows, partition_by)
+        else:
+            writer = rows.write.format(self.table_format).mode("overwrite")
+            # A session that overwrites partition by partition would keep old ones.
+            writer = writer.option("partitionOverwriteMode", "static")
+            if partition_by:
+                writer = writer.partitionBy(*partition_by)
+            writer.save(self.path(layer, table))
+        return self.read(layer, table, rows.schema)
 
     def _bronze_all(self, table: str) -> DataFrame:
         reader = self.spark.read.format(self.table_format)
