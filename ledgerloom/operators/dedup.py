@@ -48,7 +48,9 @@ def dedup_stream(
     All copies of a key meet in one task. Where a key may have very many,
     `spread` first drops repeats within that many random slots per key, so
     that at most one copy per slot goes on to the final step. It costs a
-    second shuffle and a second state store.
+    second shuffle and a second state store. A slot is drawn by row position,
+    so `rows` should come from the source without a shuffle in between: a task
+    that is run again then draws the same slots.
     """
     timed = rows.withColumn(
         "_event_time", F.timestamp_seconds(F.col(epoch_seconds))

@@ -22,17 +22,20 @@ def latest_transactions(txs: DataFrame, k: int = REPORT_ROWS) -> DataFrame:
     newest = txs.select("timestamp").orderBy(F.desc("timestamp")).limit(k)
     since = newest.agg(F.min("timestamp").alias("since"))
     recent = txs.where(F.col("timestamp") >= since.scalar())
+    undated = txs.where(F.col("timestamp").isNull())
     if "dt" in txs.columns:
+        # `dt` is derived from the timestamp: both are absent together.
         # Text order is date order for years of four digits. Other years start
         # with a sign, which sorts before the digits, and are always let in.
         dt = F.col("dt")
         since_date = since.select(partition_date(F.col("since"))).scalar()
         recent = recent.where((dt >= since_date) | (dt < "0") | dt.isNull())
+        undated = undated.where(dt.isNull())
     wide = [*LATEST, "timestamp"]
     order = [F.desc_nulls_last("timestamp"), F.asc("txHash")]
     # Counts only when there are fewer than k rows with a time.
-    undated = txs.where(F.col("timestamp").isNull()).select(*wide).orderBy("txHash").limit(k)
-    return recent.select(*wide).unionByName(undated).orderBy(*order).limit(k).select(*LATEST)
+    rest = undated.select(*wide).orderBy("txHash").limit(k)
+    return recent.select(*wide).unionByName(rest).orderBy(*order).limit(k).select(*LATEST)
 
 
 def daily_tx_counts(txs: DataFrame) -> DataFrame:
