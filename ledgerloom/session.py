@@ -11,8 +11,8 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Size reducers by bytes, not by core count: start from many partitions
-    # and let AQE merge them up to the advisory size.
+    # Size reducers by bytes, not by core count: AQE merges small partitions
+    # up to the advisory size.
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "256m",
@@ -22,6 +22,8 @@ DEFAULTS = {
     ),
 }
 
+SPARK_SHUFFLE_PARTITIONS = "200"  # Spark's own default
+
 DELTA = {
     "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
     "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
@@ -38,4 +40,9 @@ def build_session(
     for settings in (DEFAULTS, DELTA if delta else {}, conf or {}):
         for key, value in settings.items():
             builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if spark.conf.get("spark.sql.shuffle.partitions") == SPARK_SHUFFLE_PARTITIONS:
+        # Nobody chose a number: start from several per core and let AQE merge.
+        parts = max(int(SPARK_SHUFFLE_PARTITIONS), 4 * spark.sparkContext.defaultParallelism)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+    return spark

@@ -1,7 +1,8 @@
 """Message topics -> sharded store for quick reads, safe against replays.
 
 Every micro-batch owns one directory and overwrites it as a whole, so a batch
-that is run again after a failure replaces its rows instead of adding them.
+that is run again after a failure replaces its rows instead of adding them. In
+a Delta table, the transaction id of the write serves the same end.
 """
 
 from __future__ import annotations
@@ -46,9 +47,23 @@ class SpeedStore:
     def write_batch(self, rows: DataFrame, entity: Entity, run_id: str, batch_id: int) -> None:
         """Write the rows of one micro-batch, without a shuffle: each task
         sorts its rows by shard and block and writes a file per shard."""
+        ordered = rows.sortWithinPartitions(STATUS, "shard", "chain_name", *entity.store_order)
+        if self.table_format == "delta":
+            (
+                ordered.withColumns(
+                    {"run_id": F.lit(run_id), "batch_id": F.lit(batch_id).cast("bigint")}
+                )
+                .write.format("delta")
+                .mode("append")
+                .option("txnAppId", run_id)
+                .option("txnVersion", batch_id)
+                .option("maxRecordsPerFile", self.max_rows_per_file)
+                .partitionBy(STATUS, "shard")
+                .save(self.path(entity))
+            )
+            return
         (
-            rows.sortWithinPartitions(STATUS, "shard", "chain_name", *entity.store_order)
-            .write.format(self.table_format)
+            ordered.write.format(self.table_format)
             .mode("overwrite")
             .option("partitionOverwriteMode", "static")
             .option("maxRecordsPerFile", self.max_rows_per_file)
@@ -65,6 +80,8 @@ class SpeedStore:
         return rejected(self._all(spark, ENTITIES[table]))
 
     def _all(self, spark: SparkSession, entity: Entity) -> DataFrame:
+        if self.table_format == "delta":
+            return spark.read.format("delta").load(self.path(entity))
         schema = (
             entity.store_schema.add(RAW, TEXT)
             .add("run_id", TEXT)

@@ -3,18 +3,21 @@
 import json
 
 import pytest
+from pyspark.errors import StreamingQueryException
 
 from ledgerloom.functions.codec import decode, rejected
 from ledgerloom.operators.dedup import dedup_ingested, dedup_stream
 from ledgerloom.schemas import BLOCKS, ENTITIES, LOGS, TRANSACTIONS
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.sources.lake import Lake
-from ledgerloom.streaming.bronze import await_all, bronze_rows, start_bronze
+from ledgerloom.streaming.bronze import await_all, await_any, bronze_rows, start_bronze
 from ledgerloom.streaming.speed import (
     SpeedStore,
+    _start,
     jdbc_writer,
     speed_rows,
     start_speed,
+    start_speed_stream,
 )
 
 ONCE = {"availableNow": True}
@@ -205,6 +208,30 @@ def test_stream_dedup(spark, tmp_path, spread):
     assert sorted(r.txHash for r in out.collect()) == ["0x1", "0x2"]
 
 
+def test_one_failing_stream_ends_the_job(spark, feed, tmp_path):
+    for query in spark.streams.active:
+        query.stop()
+    spark.streams.resetTerminated()
+    lake = Lake(spark, str(tmp_path / "lake"))
+    healthy = start_bronze(feed, lake, ["transactions"])
+
+    def fail(batch, batch_id):
+        raise RuntimeError("sink is away")
+
+    store = SpeedStore(str(tmp_path / "speed"))
+    rows = speed_rows(feed.stream(spark, TRANSACTIONS), TRANSACTIONS, store.shards)
+    failing = _start(rows, fail, "failing", str(tmp_path / "point"), {"processingTime": "1 second"})
+    with pytest.raises(StreamingQueryException, match="sink is away"):
+        await_any(spark, [*healthy, failing])
+    assert not any(q.isActive for q in [*healthy, failing])
+    spark.streams.resetTerminated()
+
+    # the failed batch is run again from the same checkpoint
+    point = str(tmp_path / "point")
+    await_all([start_speed_stream(spark, feed, store, TRANSACTIONS, point, ONCE)])
+    assert store.read(spark, "transactions").count() == len(GOOD)
+
+
 def test_publish_then_read_back(spark, tmp_path):
     feed = Feed("files", str(tmp_path / "feed"))
     logs = spark.createDataFrame(
