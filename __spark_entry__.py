@@ -20,6 +20,7 @@ from ledgerloom.functions.columns import json_long, normalize_amount  # noqa: E4
 from ledgerloom.operators import bundle, quality, sync_state  # noqa: E402
 from ledgerloom.operators.dedup import dedup_latest  # noqa: E402
 from ledgerloom.plans import models, reports  # noqa: E402
+from ledgerloom.plans.compaction import store_layout  # noqa: E402
 from ledgerloom.plans.daily import silver_tests  # noqa: E402
 from ledgerloom.schemas import ENTITIES, TRANSACTIONS  # noqa: E402
 from ledgerloom.streaming.bronze import bronze_rows  # noqa: E402
@@ -57,6 +58,23 @@ def _speed(table: str, shards: int) -> Query:
     )
 
 
+def _compacted(table: str) -> Query:
+    """Store rows that came twice, the second time a second later: the layout
+    keeps the later copy of each."""
+
+    def query(spark: SparkSession, sf: str) -> DataFrame:
+        rows = _stored(table)(spark, sf)
+        again = rows.withColumn("ingestion_timestamp", F.col("ingestion_timestamp") + 1000)
+        return store_layout(rows.unionByName(again), ENTITIES[table])
+
+    return query
+
+
+def _stored(table: str) -> Query:
+    names = ENTITIES[table].store_columns
+    return lambda spark, sf: fixtures.entity(spark, sf, table).drop("dt").withColumnsRenamed(names)
+
+
 def _json_decode(spark: SparkSession, sf: str) -> DataFrame:
     return accepted(decode(_encoded("transactions")(spark, sf), TRANSACTIONS))
 
@@ -195,6 +213,9 @@ def queries() -> dict[str, Query]:
         "speed_blocks": _speed("blocks", 2),
         "speed_transactions": _speed("transactions", 2),
         "speed_logs": _speed("logs", 3),
+        "compacted_blocks": _compacted("blocks"),
+        "compacted_transactions": _compacted("transactions"),
+        "compacted_logs": _compacted("logs"),
         "shard_counts": _on(reports.shard_counts, "blocks"),
         "explode_bundle": _bundle(bundle.transaction_feed),
         "explode_bundle_blocks": _bundle(bundle.block_feed),
@@ -239,6 +260,24 @@ def _speed_sql(table: str, shards: int) -> str:
     )
 
 
+def _compacted_sql(table: str) -> str:
+    entity = ENTITIES[table]
+    renamed = ", ".join(
+        f'"{c}" + 1000 AS {s}' if s == "ingestion_timestamp" else f'"{c}" AS {s}'
+        for c, s in entity.store_columns.items()
+    )
+    key = ", ".join(entity.store_key)
+    rest = ", ".join(
+        s
+        for s in entity.store_columns.values()
+        if s not in entity.store_key and s != "ingestion_timestamp"
+    )
+    return (
+        f"SELECT * FROM (SELECT {renamed} FROM {table}) QUALIFY row_number() OVER "
+        f"(PARTITION BY {key} ORDER BY ingestion_timestamp DESC, {rest}) = 1"
+    )
+
+
 _SILVER_SQL = """
     SELECT "chainName" AS chain_name, "blockNumber" AS block_number,
            "from" AS from_address, "to" AS to_address, value AS tx_value,
@@ -267,6 +306,9 @@ def oracle_sql() -> dict[str, str]:
         "speed_blocks": _speed_sql("blocks", 2),
         "speed_transactions": _speed_sql("transactions", 2),
         "speed_logs": _speed_sql("logs", 3),
+        "compacted_blocks": _compacted_sql("blocks"),
+        "compacted_transactions": _compacted_sql("transactions"),
+        "compacted_logs": _compacted_sql("logs"),
         "quarantine": """
             SELECT CASE WHEN "blockNumber" % 7 = 0 THEN 'undecodable'
                         WHEN "blockNumber" % 11 = 0 THEN 'missing_key'
