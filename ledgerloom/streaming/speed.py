@@ -8,6 +8,7 @@ a Delta table, the transaction id of the write serves the same end.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import Future
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -21,6 +22,8 @@ from ledgerloom.schemas import ENTITIES, LONG, OK, RAW, STATUS, TEXT, Entity
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.streaming.bronze import DEFAULT_TRIGGER
 
+START_SECONDS = 120
+
 BatchWriter = Callable[[DataFrame, int], None]
 
 
@@ -101,11 +104,17 @@ def start_speed_stream(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     rows = speed_rows(feed.stream(spark, entity), entity, store.shards)
+    # The run id is the query's id. It is kept in the checkpoint: a restart
+    # goes on under the same id, and a new checkpoint, whose batches count from
+    # 0 again, gets a new one. The first batch may begin before it is known here.
+    run_id: Future[str] = Future()
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(batch, entity, _run_id(batch), batch_id)
+        store.write_batch(batch, entity, run_id.result(START_SECONDS), batch_id)
 
-    return _start(rows, write, f"speed-{entity.table}", checkpoint, trigger)
+    query = _start(rows, write, f"speed-{entity.table}", checkpoint, trigger)
+    run_id.set_result(str(query.id))
+    return query
 
 
 def start_speed(
@@ -179,10 +188,3 @@ def _start(
         .trigger(**(trigger or DEFAULT_TRIGGER))
         .start()
     )
-
-
-def _run_id(batch: DataFrame) -> str:
-    """Id of the streaming query. It is kept in the checkpoint: a restart goes
-    on under the same id, and a new checkpoint, whose batches count from 0
-    again, gets a new one."""
-    return batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
