@@ -11,12 +11,16 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from ledgerloom.functions.codec import encode
 from ledgerloom.schemas import Entity
 
-# A Kafka partition can hold far more than its share (logs are keyed by
-# contract address), so one topic partition is read by as many tasks as it needs.
+# A stream starts at the earliest message, so the first batches may face a long
+# backlog: the limits per trigger cut it into batches that commit one by one. A
+# Kafka partition can hold far more than its share (logs are keyed by contract
+# address), so one is read by as many tasks as it needs.
 KAFKA_DEFAULTS = {
     "startingOffsets": "earliest",
+    "maxOffsetsPerTrigger": "100000000",
     "maxRecordsPerPartition": "1000000",
 }
+FILE_DEFAULTS = {"maxFilesPerTrigger": "10000"}
 
 
 @dataclass(frozen=True)
@@ -31,7 +35,7 @@ class Feed:
 
     def stream(self, spark: SparkSession, entity: Entity) -> DataFrame:
         """Unbounded `value` messages of the entity's topic, from the earliest on.
-        `options` takes the rate limits (maxOffsetsPerTrigger / maxFilesPerTrigger)."""
+        `options` overrides the limits above."""
         return self._load(spark.readStream, entity)
 
     def batch(self, spark: SparkSession, entity: Entity) -> DataFrame:
@@ -63,7 +67,8 @@ class Feed:
                 .load()
             )
         else:
-            loaded = reader.format("text").options(**self.options).load(self._folder(entity))
+            options = {**FILE_DEFAULTS, **self.options}
+            loaded = reader.format("text").options(**options).load(self._folder(entity))
         return loaded.select(F.col("value").cast("string").alias("value"))
 
     def _folder(self, entity: Entity) -> str:

@@ -118,6 +118,17 @@ def test_bronze_stream(spark, feed, tmp_path):
     assert all(r[0].startswith("bronze/transactions/status=ok/chainName=") for r in paths)
 
 
+def test_backlog_is_taken_in_batches(spark, feed, tmp_path):
+    for n in range(3):
+        write_lines(tmp_path / "feed" / TRANSACTIONS.topic, f"b{n}.txt", [json.dumps(tx(100 + n))])
+    slow = Feed("files", feed.location, {"maxFilesPerTrigger": "1"})
+    lake = Lake(spark, str(tmp_path / "lake"))
+    (query,) = start_bronze(slow, lake, ["transactions"], ONCE)
+    await_all([query])
+    assert query.lastProgress["batchId"] >= 3
+    assert lake.bronze("transactions").count() == len(GOOD) + 3
+
+
 def test_bronze_stream_agrees_with_batch(spark, feed, tmp_path):
     lake = Lake(spark, str(tmp_path / "lake"))
     await_all(start_bronze(feed, lake, trigger=ONCE, files_per_partition=2))
