@@ -12,7 +12,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+ROOT = os.path.dirname(os.path.abspath(__file__))
+sys.path.insert(0, ROOT)
 
 import fixtures  # noqa: E402
 from ledgerloom.functions.codec import accepted, decode, encode, rejected  # noqa: E402
@@ -26,6 +27,12 @@ from ledgerloom.schemas import ENTITIES, TRANSACTIONS  # noqa: E402
 from ledgerloom.streaming.bronze import bronze_rows  # noqa: E402
 from ledgerloom.streaming.speed import speed_rows  # noqa: E402
 
+try:  # the training-data operators are an optional part
+    import corpus_pipeline  # noqa: E402
+    from ledgerloom.llm import queries as training_data  # noqa: E402
+except ImportError:
+    corpus_pipeline = training_data = None
+
 SMOKE_DIR = "/root/testdata/sf0.001"
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -199,6 +206,25 @@ def _dq_table_tests(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
+    if training_data is None:
+        return core_queries()
+    optional = training_data.queries() | {"pipeline": corpus_pipeline.run}
+    return core_queries() | {name: _importable(query) for name, query in optional.items()}
+
+
+def _importable(query: Query) -> Query:
+    """For Python workers: this folder is on their path, as it is on the driver's."""
+
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        path = spark.sparkContext.environment.get("PYTHONPATH", "")
+        if ROOT not in path.split(os.pathsep):
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, path]))
+        return query(spark, sf)
+
+    return run
+
+
+def core_queries() -> dict[str, Query]:
     return {
         "json_encode": _encoded("transactions"),
         "json_encode_blocks": _encoded("blocks"),
@@ -436,4 +462,5 @@ def oracle_sql() -> dict[str, str]:
             WHERE rn = 1
         """,
     }
-    return {k: fixtures.with_entities(v) for k, v in on_entities.items()} | on_tables
+    optional = training_data.oracle_sql() if training_data else {}
+    return {k: fixtures.with_entities(v) for k, v in on_entities.items()} | on_tables | optional

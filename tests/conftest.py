@@ -18,6 +18,7 @@ def spark(tmp_path_factory):
             "spark.master": "local[8]",
             "spark.driver.memory": "4g",
             "spark.ui.enabled": "false",
+            "spark.executorEnv.PYTHONPATH": ROOT,
             "spark.sql.shuffle.partitions": "8",
             "spark.sql.warehouse.dir": str(warehouse),
             "spark.sql.streaming.metricsEnabled": "false",
