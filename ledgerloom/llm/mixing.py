@@ -231,7 +231,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     copies = (
         mix(docs)
         .withColumn("nth", nth("row_id"))
-        .withColumn("copies", F.round(F.col("taken") / F.col("size")).cast("int"))
+        .where("size > 0")
+        .withColumn("copies", F.round(F.try_divide("taken", "size")).cast("int"))
         .where("copies > 0")
         .select(F.col("doc_id").alias("id"), "content", "nth", "copies")
     )

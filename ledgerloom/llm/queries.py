@@ -154,12 +154,12 @@ _MIX_SQL = r"""
     p AS (
       SELECT d.doc_id, d.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS words,
              sum(d.size) OVER (PARTITION BY d.source ORDER BY d.shuffle, d.doc_id, d.size
-                               ROWS UNBOUNDED PRECEDING) - d.size AS at
+                               ROWS UNBOUNDED PRECEDING) - d.size AS pos
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
     SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
-           CAST(greatest(0, least(at + size, words) - at)
-              + greatest(0, least(at + source_size + size, words) - at - source_size)
-              + greatest(0, least(at + 2 * source_size + size, words) - at - 2 * source_size)
+           CAST(greatest(0, least(pos + size, words) - pos)
+              + greatest(0, least(pos + source_size + size, words) - pos - source_size)
+              + greatest(0, least(pos + 2 * source_size + size, words) - pos - 2 * source_size)
              AS BIGINT) AS taken
     FROM p
 """

@@ -5,10 +5,11 @@
    says "clean" where all others abstain.
 2. Label model: from how often voters fire, alone and in pairs, over all documents, it
    estimates each voter's accuracy (triplets of voters) and which voters depend on each
-   other beyond the label (residual correlation); those share their weight. No label is
-   used but the class balance.
+   other beyond the label (residual correlation); those share their weight. Of the labels
+   only the class balance is used.
 3. A linear classifier (logistic regression on hashed words and word beginnings) is
-   trained on the label model's posteriors over the training rows, at most about
+   trained on the label model's posteriors over the training rows (where the label is
+   one more vote), at most about
    ``TRAIN_ROWS`` of them, chosen by a hash of the doc_id. Its margins are calibrated on
    the training labels.
 
@@ -43,13 +44,15 @@ PHRASES = ("kill yourself", "shut up", "go to hell", "i hate you", "drop dead",
 
 #: Bound on the rows the classifier and the mined terms are fitted on.
 TRAIN_ROWS = 20_000
-MINED_TERMS = 60
-#: A mined term occurs in so many toxic training rows, and so purely.
-MINED_ROWS, MINED_PURITY = 5, 0.9
-PREFIX = 4
+MINED_TERMS = 100
+#: A mined term occurs in so many toxic training rows at least, and so purely.
+MINED_ROWS, MINED_PURITY = 3, 0.9
+PREFIXES = (4, 5, 7)
 FEATURES = 1 << 18
 DEFAULT_BALANCE = 0.1
-DEPENDENT = 0.2
+GOLD = 6.0
+#: Voters whose residual correlation is above this depend on each other; found in rounds.
+DEPENDENT, ROUNDS = 0.2, 3
 THRESHOLD = 0.7
 
 
@@ -60,9 +63,14 @@ def held_out(doc_id: Column) -> Column:
 def terms(text: Column) -> Column:
     """Distinct words, lower-cased, and the beginnings of the longer ones (marked *)."""
     words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+"))
-    long_words = F.filter(words, lambda w: F.length(w) >= PREFIX)
-    starts = F.transform(long_words, lambda w: F.concat(F.substring(w, 1, PREFIX), F.lit("*")))
-    return F.concat(F.array_remove(words, ""), F.array_distinct(starts))
+    starts = [
+        F.transform(
+            F.filter(words, lambda w: F.length(w) >= n),
+            lambda w: F.concat(F.substring(w, 1, n), F.lit("*")),
+        )
+        for n in PREFIXES
+    ]
+    return F.concat(F.array_remove(words, ""), F.array_distinct(F.concat(*starts)))
 
 
 def fired(term_column: Column, text: Column, voters: list[str]) -> Column:
@@ -78,6 +86,15 @@ def fired(term_column: Column, text: Column, voters: list[str]) -> Column:
     return F.concat(by_term, by_phrase)
 
 
+def with_votes(term_column: Column, votes: Column) -> Column:
+    """The terms, and a mark for each vote and for one vote or more, two, four."""
+    marks = F.transform(votes, lambda v: F.concat(F.lit("#"), v.cast("string")))
+    levels = F.array_compact(
+        F.array(*[F.when(F.size(votes) >= n, F.lit(f"#{n}+")) for n in (1, 2, 4)])
+    )
+    return F.concat(term_column, marks, levels)
+
+
 @dataclass
 class LabelModel:
     """Weight of each voter's vote, of the vote for clean, and the prior, in log odds."""
@@ -86,10 +103,13 @@ class LabelModel:
     weights: list[float]
     clean: float
 
-    def posterior(self, votes: Column) -> Column:
+    def posterior(self, votes: Column, label: Column | None = None) -> Column:
+        """P(toxic | votes). A training row's label is one more vote, of weight GOLD."""
         table = F.array(*map(F.lit, self.weights))
         total = F.aggregate(votes, F.lit(self.prior), lambda s, v: s + F.element_at(table, v + 1))
         odds = F.when(F.size(votes) == 0, F.lit(self.prior + self.clean)).otherwise(total)
+        if label is not None:
+            odds = odds + F.when(label == 1, GOLD).otherwise(-GOLD)
         return 1 / (1 + F.exp(-odds))
 
 
@@ -97,8 +117,8 @@ def fit_label_model(votes: DataFrame, n_voters: int, balance: float) -> LabelMod
     """From ``votes`` (a column of arrays). With x_i whether voter i fires and y the
     label, cov(x_i, x_j) = b (1 - b) d_i d_j for voters independent given the label, b
     the class balance and d_i = P(x_i | toxic) - P(x_i | clean). So v_i^2 = c_ij c_ik /
-    c_jk for d_i scaled; the median over pairs of other voters that fire along with i is
-    taken. Only the n x n counts reach the driver."""
+    c_jk for d_i scaled, in the mean over pairs of other voters that fire along with i.
+    Only the n x n counts reach the driver."""
     pairs = votes.select(F.explode("votes").alias("i"), "votes").select(
         "i", F.explode("votes").alias("j")
     )
@@ -112,27 +132,16 @@ def fit_label_model(votes: DataFrame, n_voters: int, balance: float) -> LabelMod
     mean = counts.diagonal() / total
     cov = counts / total - np.outer(mean, mean)
     spread = balance * (1 - balance)
-    strength = np.zeros(n_voters)
-    for i in range(n_voters):
-        if not mean[i]:
-            continue
-        others = [j for j in np.flatnonzero(cov[i] > 0) if j != i]
-        found = [
-            cov[i, j] * cov[i, k] / cov[j, k]
-            for n, j in enumerate(others)
-            for k in others[:n]
-            if cov[j, k] > 0
-        ]
-        # A voter that fires alone is trusted little.
-        strength[i] = math.sqrt(np.median(found)) if found else 0.5 * math.sqrt(mean[i] * spread)
-    d = np.minimum(strength / math.sqrt(spread), mean / balance)
+    deviation = np.sqrt(np.maximum(mean * (1 - mean), 1e-12))
+    rest = np.zeros((n_voters, n_voters))
+    for _ in range(ROUNDS):
+        d = np.minimum(_strengths(cov, mean, spread, rest > 0) / math.sqrt(spread), mean / balance)
+        rest = (cov - spread * np.outer(d, d)) / np.outer(deviation, deviation)
+        np.fill_diagonal(rest, 0)
+        rest[rest < DEPENDENT] = 0
     floor = np.maximum(mean * 0.01, 1 / total)
     toxic = np.clip(mean + (1 - balance) * d, floor, 1 - 1e-6)
     clean = np.clip(mean - balance * d, floor, 1 - 1e-6)
-    deviation = np.sqrt(np.maximum(mean * (1 - mean), 1e-12))
-    rest = (cov - spread * np.outer(d, d)) / np.outer(deviation, deviation)
-    np.fill_diagonal(rest, 0)
-    rest[rest < DEPENDENT] = 0
     weights = np.log(toxic / clean) / (1 + rest.sum(axis=1))
     weights[mean == 0] = 1.0
     quiet = min(max(silent / total, 1e-6), 1 - 1e-6)
@@ -146,6 +155,23 @@ def fit_label_model(votes: DataFrame, n_voters: int, balance: float) -> LabelMod
     )
 
 
+def _strengths(cov: np.ndarray, mean: np.ndarray, spread: float, tied: np.ndarray) -> np.ndarray:
+    """v_i of each voter from triplets, without voters that depend on each other."""
+    strength = np.zeros(len(mean))
+    for i in np.flatnonzero(mean):
+        others = np.flatnonzero((cov[i] > 0) & ~tied[i] & (np.arange(len(mean)) != i))
+        among = np.where(tied[np.ix_(others, others)], 0, cov[np.ix_(others, others)])
+        np.fill_diagonal(among, 0)
+        among = np.maximum(among, 0)
+        # Least squares over pairs (j, k), so that pairs which say little count little.
+        weight = (among**2).sum()
+        if weight:
+            strength[i] = math.sqrt(cov[i, others] @ among @ cov[i, others] / weight)
+        else:  # a voter that fires alone is trusted little
+            strength[i] = 0.5 * math.sqrt(mean[i] * spread)
+    return strength
+
+
 def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(text, toxic) of at most about TRAIN_ROWS labelled rows outside the held-out fold."""
     known = (
@@ -162,16 +188,20 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(rows.select(text_of(docs).alias("text"), "toxic"), "training")
 
 
-def mined_terms(train: DataFrame, least_rows: int = MINED_ROWS) -> list[str]:
-    counts = (
+def mined_terms(train: DataFrame, balance: float) -> list[str]:
+    """Terms of toxic rows that are no accident: of terms in n rows, a share of
+    balance^n would be in toxic rows alone."""
+    counts = stored(
         train.select("toxic", F.explode(terms(F.col("text"))).alias("term"))
         .groupBy("term")
         .agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
-        .where((F.col("bad") >= least_rows) & (F.col("bad") >= MINED_PURITY * F.col("n")))
-        .orderBy(F.desc("bad"), "term")
-        .limit(MINED_TERMS)
+        .where(F.col("n") >= MINED_ROWS),
+        "terms",
     )
-    return [r["term"] for r in counts.collect()]
+    n_terms = max(counts.count(), 2)
+    least = max(MINED_ROWS, math.ceil(math.log(n_terms) / -math.log(balance)))
+    good = counts.where((F.col("bad") >= least) & (F.col("bad") >= MINED_PURITY * F.col("n")))
+    return [r["term"] for r in good.orderBy(F.desc("bad"), "term").limit(MINED_TERMS).collect()]
 
 
 @dataclass
@@ -189,10 +219,11 @@ class Scorer:
         text = F.col("row.text").cast("string")
         rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"))
         rows = rows.withColumn("terms", terms(F.coalesce(text, F.lit(""))))
+        rows = rows.withColumn("votes", fired(F.col("terms"), F.coalesce(text, F.lit("")), self.voters))
         if self.linear is None:
-            votes = fired(F.col("terms"), F.coalesce(text, F.lit("")), self.voters)
-            rows = rows.withColumn("score", self.labels.posterior(votes))
+            rows = rows.withColumn("score", self.labels.posterior(F.col("votes")))
         else:
+            rows = rows.withColumn("terms", with_votes(F.col("terms"), F.col("votes")))
             margin = _margin(self.linear, rows)
             rows = margin.withColumn(
                 "score", 1 / (1 + F.exp(-(F.col("margin") * self.slope + self.shift)))
@@ -220,19 +251,26 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     n, bad = train.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
     usable = 0 < bad < n
     balance = min(max(bad / n, 0.005), 0.5) if usable else DEFAULT_BALANCE
-    voters = list(dict.fromkeys(LEXICON + (mined_terms(train) if usable else [])))
+    voters = list(dict.fromkeys(LEXICON + (mined_terms(train, balance) if usable else [])))
     all_votes = docs.select(text_of(docs).alias("text")).withColumn("terms", terms(F.col("text")))
     all_votes = stored(all_votes.select(fired(F.col("terms"), F.col("text"), voters).alias("votes")), "votes")
     model = fit_label_model(all_votes, len(voters) + len(PHRASES), balance)
     if not usable:
         return Scorer(voters, model)
     ready = train.withColumn("terms", terms(F.col("text")))
-    ready = ready.withColumn("p", model.posterior(fired(F.col("terms"), F.col("text"), voters)))
-    ready = stored(ready.select("terms", "p", "toxic"), "posteriors")
-    both = HashingTF(**_HASH).transform(ready).select(
-        "features", F.explode(F.array(F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
-                                      F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")))).alias("y")
-    ).select("features", "y.*")
+    ready = ready.withColumn("votes", fired(F.col("terms"), F.col("text"), voters))
+    ready = ready.select(
+        with_votes(F.col("terms"), F.col("votes")).alias("terms"),
+        model.posterior(F.col("votes"), F.col("toxic")).alias("p"),
+        "toxic",
+    )
+    ready = stored(ready, "posteriors")
+    # A soft label is both labels, weighted.
+    sides = F.array(
+        F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
+        F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")),
+    )
+    both = HashingTF(**_HASH).transform(ready).select("features", F.inline(sides))
     linear = LogisticRegression(
         weightCol="weight", regParam=0.001, maxIter=40, standardization=False
     ).fit(both)

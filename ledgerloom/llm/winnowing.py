@@ -104,7 +104,7 @@ def _in_ranges(docs: DataFrame) -> DataFrame:
     cuts = keys.agg(
         F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], 100 * n).alias("c")
     ).first()["c"]
-    splits = [-float("inf"), *sorted({float(c) for c in cuts or []}), float("inf")]
+    splits = [-float("inf"), *sorted({float(c) for c in cuts or [0]}), float("inf")]
     bucket = Bucketizer(splits=splits, inputCol="number", outputCol="bucket")
 
     def dealt(rows: DataFrame) -> DataFrame:
