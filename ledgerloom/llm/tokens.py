@@ -1,25 +1,43 @@
 """Token ids of whole texts, with the ids of frequent words kept.
 
-Both vocabularies used here never join text across a space that stands before a
-visible character, so a text is cut there, and each piece is encoded by the
-tokenizers library once and looked up after that. Ids are the same as those of the
-uncut text (see the tests).
+Both vocabularies used here never join text across certain places, so a text is cut
+there into pieces, and each piece is encoded by the tokenizers library once and looked
+up after that. Ids are the same as those of the uncut text (see the tests). The places:
+
+* before a space, unless it stands between two blanks (or a blank and the end), where
+  the vocabulary may take blanks together;
+* inside a piece, between a letter and a comma or full stop, and before a line end
+  that follows a visible character.
 """
 
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 
-_CUT = re.compile(r" (?=\S)")
+_BLANK_AND_SPACE = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
+_SAFE_SPACE = re.compile(r" (?=\S)")
+_INSIDE = re.compile(r"(?<=[A-Za-z])(?=[,.])|(?<=\S)(?=\n)")
 #: Pieces kept in a worker, and their characters; beyond that it starts anew.
-MAX_PIECES, MAX_CHARS = 300_000, 8_000_000
+MAX_PIECES, MAX_CHARS = 1_000_000, 16_000_000
 #: Characters that are encoded at once.
-CHARS_AT_ONCE = 1 << 19
+CHARS_AT_ONCE = 1 << 17
+
+
+def pieces_of(text: str) -> list:
+    """The pieces; all but the first, a 1-tuple, are without the space before them."""
+    if any(map(text.__contains__, _BLANK_AND_SPACE)):
+        pieces = _SAFE_SPACE.split(text)
+    else:
+        pieces = text.split(" ")
+    pieces[0] = (pieces[0],)
+    return pieces
 
 
 class Encoder:
@@ -33,55 +51,50 @@ class Encoder:
         self._clear()
 
     def _clear(self) -> None:
-        self.first: dict[str, int] = {}
-        self.later: dict[str, int] = {}
+        self.known: dict[object, int] = {}
+        self.parts: dict[str, bytes] = {}
         self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1 << 12, dtype=np.int64)
-        self.count = self.chars = 0
-
-    def _add(self, known: dict[str, int], pieces: list[str], prefix: str) -> None:
-        encoded = self.library.encode_batch_fast([prefix + p for p in pieces], add_special_tokens=False)
-        for piece, e in zip(pieces, encoded):
-            ids = e.ids
-            at = int(self.ends[self.count])
-            while at + len(ids) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-            if self.count + 2 > len(self.ends):
-                self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-            self.ids[at : at + len(ids)] = ids
-            self.ends[self.count + 1] = at + len(ids)
-            known[piece] = self.count
-            self.count += 1
-            self.chars += len(piece)
-
-    def _places(self, known: dict[str, int], pieces: list[str], prefix: str) -> list[int]:
-        found = list(map(known.get, pieces))
-        if None in found:
-            missing = [p for p in dict.fromkeys(pieces) if p not in known]
-            self._add(known, missing, prefix)
-            found = list(map(known.get, pieces))
-        return found
+        self.chars = 0
+
+    def _add(self, pieces: list) -> None:
+        cut = [_INSIDE.split(p[0] if type(p) is tuple else " " + p) for p in pieces]
+        new = [x for x in dict.fromkeys(itertools.chain.from_iterable(cut)) if x not in self.parts]
+        if new:
+            encoded = self.library.encode_batch_fast(new, add_special_tokens=False)
+            self.parts.update(zip(new, [array("I", e.ids).tobytes() for e in encoded]))
+        part = self.parts.__getitem__
+        lists = [b"".join(map(part, c)) for c in cut]
+        n = len(self.known)
+        ends = self.ends[n] + np.cumsum([len(x) // 4 for x in lists])
+        while ends[-1] > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while n + 1 + len(lists) > len(self.ends):
+            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
+        self.ids[self.ends[n] : ends[-1]] = np.frombuffer(b"".join(lists), dtype=np.uint32)
+        self.ends[n + 1 : n + 1 + len(lists)] = ends
+        self.known.update(zip(pieces, range(n, n + len(pieces))))
+        self.chars += sum(map(len, new))
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        if self.count > MAX_PIECES or self.chars > MAX_CHARS:
+        if len(self.known) > MAX_PIECES or self.chars > MAX_CHARS:
             self._clear()
-        first, later, counts = [], [], []
+        pieces, counts = [], []
         for text in texts:
-            pieces = _CUT.split(text)
-            first.append(pieces[0])
-            later += pieces[1:]
-            counts.append(len(pieces))
-        ends = np.cumsum(counts)
-        places = np.empty(int(ends[-1]), dtype=np.int64)
-        heads = np.zeros(len(places), dtype=bool)
-        heads[ends - counts] = True
-        places[heads] = self._places(self.first, first, "")
-        places[~heads] = self._places(self.later, later, " ")
+            some = pieces_of(text)
+            pieces += some
+            counts.append(len(some))
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            self._add([p for p in dict.fromkeys(pieces) if p not in self.known])
+            known = self.known
+            found = [known[p] if at is None else at for p, at in zip(pieces, found)]
+        places = np.array(found, dtype=np.int64)
         starts = self.ends[places]
         lengths = self.ends[places + 1] - starts
         upto = np.cumsum(lengths)
         flat = self.ids[np.repeat(starts - upto + lengths, lengths) + np.arange(int(upto[-1]))]
-        return np.split(flat, upto[ends - 1][:-1])
+        return np.split(flat, upto[np.cumsum(counts) - 1][:-1])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         some, chars = [], 0
