@@ -47,7 +47,7 @@ TRAIN_ROWS = 20_000
 MINED_TERMS = 100
 #: A mined term occurs in so many toxic training rows at least, and so purely.
 MINED_ROWS, MINED_PURITY = 3, 0.9
-PREFIXES = (4, 5, 7)
+PREFIXES = (4, 6)
 FEATURES = 1 << 18
 DEFAULT_BALANCE = 0.1
 GOLD = 6.0
@@ -61,16 +61,11 @@ def held_out(doc_id: Column) -> Column:
 
 
 def terms(text: Column) -> Column:
-    """Distinct words, lower-cased, and the beginnings of the longer ones (marked *)."""
+    """Distinct words, lower-cased, and the beginnings of the longer ones (some twice)."""
     words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+"))
-    starts = [
-        F.transform(
-            F.filter(words, lambda w: F.length(w) >= n),
-            lambda w: F.concat(F.substring(w, 1, n), F.lit("*")),
-        )
-        for n in PREFIXES
-    ]
-    return F.concat(F.array_remove(words, ""), F.array_distinct(F.concat(*starts)))
+    long_words = F.filter(words, lambda w: F.length(w) >= PREFIXES[0])
+    starts = [F.transform(long_words, lambda w: F.substring(w, 1, n)) for n in PREFIXES]
+    return F.concat(F.array_remove(words, ""), *starts)
 
 
 def fired(term_column: Column, text: Column, voters: list[str]) -> Column:
@@ -192,7 +187,7 @@ def mined_terms(train: DataFrame, balance: float) -> list[str]:
     """Terms of toxic rows that are no accident: of terms in n rows, a share of
     balance^n would be in toxic rows alone."""
     counts = stored(
-        train.select("toxic", F.explode(terms(F.col("text"))).alias("term"))
+        train.select("toxic", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
         .groupBy("term")
         .agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
         .where(F.col("n") >= MINED_ROWS),
@@ -228,6 +223,8 @@ class Scorer:
             rows = margin.withColumn(
                 "score", 1 / (1 + F.exp(-(F.col("margin") * self.slope + self.shift)))
             )
+        # A generator: a filter on the score stays above it, or it would repeat the scoring.
+        rows = rows.withColumn("score", F.explode(F.array("score")))
         return rows.select(
             *[F.col("row")[c].alias(c) for c in columns if c not in ("score", "predicted")],
             "score",
