@@ -22,7 +22,7 @@ from ledgerloom.operators import bundle, quality, sync_state  # noqa: E402
 from ledgerloom.operators.dedup import dedup_latest  # noqa: E402
 from ledgerloom.plans import models, reports  # noqa: E402
 from ledgerloom.plans.compaction import store_layout  # noqa: E402
-from ledgerloom.plans.daily import silver_tests  # noqa: E402
+from ledgerloom.plans.daily import silver_rows, silver_tests  # noqa: E402
 from ledgerloom.schemas import ENTITIES, TRANSACTIONS  # noqa: E402
 from ledgerloom.streaming.bronze import bronze_rows  # noqa: E402
 from ledgerloom.streaming.speed import speed_rows  # noqa: E402
@@ -154,6 +154,13 @@ def _silver_with_files(spark: SparkSession, sf: str) -> DataFrame:
     return _silver(spark, sf, lineage=True)
 
 
+def _silver_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver of transactions that came twice, the second time a second later."""
+    rows = fixtures.entity(spark, sf, "transactions")
+    again = rows.withColumn("ingestionTimestamp", F.col("ingestionTimestamp") + 1000)
+    return silver_rows(rows.unionByName(again)).drop("s3_file_path")
+
+
 def _whales(spark: SparkSession, sf: str) -> DataFrame:
     return models.ranked(models.whale_wallets(_silver(spark, sf)))
 
@@ -255,6 +262,7 @@ def core_queries() -> dict[str, Query]:
         ),
         "top_blocks": _on(reports.top_blocks, "blocks", "transactions"),
         "silver_transactions": _silver_with_files,
+        "silver_dedup": _silver_dedup,
         "whale_wallets": _whales,
         "dedup_latest": _dedup_latest,
         "watermark_read": _watermark_read,
@@ -392,6 +400,7 @@ def oracle_sql() -> dict[str, str]:
             ORDER BY b."blockNumber" DESC, b.miner LIMIT 5
         """,
         "silver_transactions": _SILVER_SQL,
+        "silver_dedup": f"SELECT * EXCLUDE (s3_file_path) FROM ({_SILVER_SQL})",
         "whale_wallets": f"""
             SELECT from_address AS whale_wallet, count(*) AS total_tx_count,
                    max(partition_date) AS last_active_date

@@ -60,11 +60,18 @@ def rejected(decoded: DataFrame) -> DataFrame:
 def _status(entity: Entity, check_amount: bool) -> Column:
     keyless = F.lit(False)
     for name in entity.required:
-        keyless = keyless | F.col(name).isNull()
+        # A blank key would become a NULL partition value, so it is none either.
+        keyless = keyless | F.col(name).isNull() | (F.trim(F.col(name).cast("string")) == "")
     blank = F.col(RAW).isNull() | (F.trim(F.col(RAW)) == "")
     status = F.when(blank | F.col(CORRUPT).isNotNull(), UNDECODABLE).when(
         keyless, MISSING_KEY
     )
+    if entity.amount:
+        # The parser reads a number with a fraction or exponent as a double, which keeps
+        # 15 digits; of a longer one the digits are lost.
+        number = r"-?(?=[0-9.]*[.eE])(?:[0-9]\.?){16,}"
+        rounded = F.col(RAW).rlike(rf'(?<!\\)"{entity.amount}"\s*:\s*{number}')
+        status = status.when(rounded, BAD_AMOUNT)
     if check_amount and entity.amount:
         status = status.when(is_bad_amount(F.col(entity.amount)), BAD_AMOUNT)
     return status.otherwise(OK)

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 SECONDS_PER_DAY = 86_400
 
 # Optional sign, digits with an optional point, optional exponent. Four
-# exponent digits are far beyond any 256-bit amount.
-_NUMBER = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?[0-9]{1,4})? *$"
+# exponent digits after leading zeros are far beyond any 256-bit amount; a larger
+# exponent is a bad amount.
+_NUMBER = r"^ *[+-]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][+-]?0*[0-9]{1,4})? *$"
 _PLAIN = r"^(0|[1-9][0-9]*)$"
 
 

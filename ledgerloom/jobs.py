@@ -8,7 +8,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import SparkSession, functions as F
 
 from ledgerloom import fixed
 from ledgerloom.operators.sync_state import SyncStateStore
@@ -46,12 +46,12 @@ def report(spark: SparkSession, args: argparse.Namespace) -> None:
     lake = Lake(spark, args.root, args.table_format)
     lake.register_views()
     blocks, txs = spark.table("blocks"), spark.table("transactions")
-    reports.latest_transactions(txs).show(truncate=False)
-    reports.daily_tx_counts(txs).show()
-    reports.chain_tip(blocks).show()
-    reports.top_blocks(blocks, txs).show(truncate=False)
+    reports.latest_transactions(txs).show(args.rows, truncate=False)
+    reports.daily_tx_counts(txs).show(args.rows)
+    reports.chain_tip(blocks).show(args.rows)
+    reports.top_blocks(blocks, txs).show(args.rows, truncate=False)
     if args.whales:
-        models.ranked(lake.read("gold", fixed.GOLD_WHALES)).show(truncate=False)
+        models.ranked(lake.read("gold", fixed.GOLD_WHALES)).show(args.rows, truncate=False)
 
 
 def run_daily(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -72,7 +72,8 @@ def publish(spark: SparkSession, args: argparse.Namespace) -> None:
     lake = Lake(spark, args.root, args.table_format)
     store = SyncStateStore(spark, args.state)
     store.init(args.chains)
-    tables = {t: lake.bronze(t).drop("dt") for t in ENTITIES}
+    chosen = F.col("chainName").isin(args.chains)
+    tables = {t: lake.bronze(t).where(chosen).drop("dt") for t in ENTITIES}
     publish_pending(tables, _feed(args), store)
 
 
@@ -102,6 +103,7 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--shards", type=int, default=fixed.SHARDS)
     job = add("report", report)
     job.add_argument("--whales", action="store_true")
+    job.add_argument("--rows", type=int, default=20, help="rows printed of each report")
     job = add("daily", run_daily)
     job.add_argument("--chains", nargs="+", default=list(fixed.ACCEPTED_CHAINS))
     job.add_argument("--threshold", type=int, default=fixed.WHALE_THRESHOLD)

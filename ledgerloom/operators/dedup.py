@@ -31,34 +31,3 @@ def dedup_ingested(rows: DataFrame, keys: Sequence[str], ingested_at: str) -> Da
     order = [F.col(f"`{ingested_at}`").desc_nulls_last()]
     order += [F.col(f"`{c}`").asc_nulls_last() for c in rest]
     return dedup_latest(rows, keys, order)
-
-
-def dedup_stream(
-    rows: DataFrame,
-    keys: Sequence[str],
-    epoch_seconds: str,
-    delay: str,
-    spread: int | None = None,
-) -> DataFrame:
-    """Drop repeats of a key that arrive within `delay` of each other.
-
-    State is bounded by the delay. A repeat that comes later than that passes
-    and is removed by `dedup_ingested` in compaction.
-
-    All copies of a key meet in one task. Where a key may have very many,
-    `spread` first drops repeats within that many random slots per key, so
-    that at most one copy per slot goes on to the final step. It costs a
-    second shuffle and a second state store. A slot is drawn by row position,
-    so `rows` should come from the source without a shuffle in between: a task
-    that is run again then draws the same slots.
-    """
-    timed = rows.withColumn(
-        "_event_time", F.timestamp_seconds(F.col(epoch_seconds))
-    ).withWatermark("_event_time", delay)
-    if spread:
-        timed = (
-            timed.withColumn("_slot", F.floor(F.rand() * spread))
-            .dropDuplicatesWithinWatermark([*keys, "_slot"])
-            .drop("_slot")
-        )
-    return timed.dropDuplicatesWithinWatermark(list(keys)).drop("_event_time")

@@ -12,8 +12,10 @@ from ledgerloom.fixed import (
     SILVER_TRANSACTIONS,
     WHALE_THRESHOLD,
 )
+from ledgerloom.operators.dedup import dedup_ingested
 from ledgerloom.operators.quality import TableTests, require
 from ledgerloom.plans.models import silver_transactions, whale_wallets
+from ledgerloom.schemas import TRANSACTIONS
 from ledgerloom.sources.lake import Lake
 
 
@@ -21,10 +23,18 @@ def silver_tests(chains: Sequence[str] = ACCEPTED_CHAINS) -> TableTests:
     return TableTests(not_null=("tx_value",), accepted={"chain_name": chains})
 
 
+def silver_rows(bronze: DataFrame) -> DataFrame:
+    """Silver of bronze transactions, of which the producer may have sent some twice:
+    the latest ingested one counts."""
+    rows = dedup_ingested(bronze, TRANSACTIONS.natural_key, "ingestionTimestamp")
+    return silver_transactions(rows)
+
+
 def build_silver(lake: Lake) -> DataFrame:
-    """Rebuild silver from bronze. Map-only: bronze files already belong to
-    one chain and date, so the partitioned write needs no shuffle."""
-    rows = silver_transactions(lake.bronze("transactions", lineage=True))
+    """Rebuild silver from bronze. Rows are gathered by chain and date for the
+    partitioned write, and AQE splits the large ones."""
+    rows = silver_rows(lake.bronze("transactions", lineage=True))
+    rows = rows.hint("rebalance", "chain_name", "partition_date")
     return lake.replace(rows, "silver", SILVER_TRANSACTIONS, partition_by=("chain_name", "partition_date"))
 
 

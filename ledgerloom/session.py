@@ -22,7 +22,9 @@ DEFAULTS = {
     ),
 }
 
-SPARK_SHUFFLE_PARTITIONS = "200"  # Spark's own default
+# Reducers that AQE starts from where nobody set spark.sql.shuffle.partitions: enough
+# for hundreds of terabytes, merged down to the advisory size for less.
+INITIAL_PARTITIONS = 8192
 
 DELTA = {
     "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
@@ -41,8 +43,8 @@ def build_session(
         for key, value in settings.items():
             builder = builder.config(key, value)
     spark = builder.getOrCreate()
-    if spark.conf.get("spark.sql.shuffle.partitions") == SPARK_SHUFFLE_PARTITIONS:
-        # Nobody chose a number: start from several per core and let AQE merge.
-        parts = max(int(SPARK_SHUFFLE_PARTITIONS), 4 * spark.sparkContext.defaultParallelism)
-        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", str(parts))
+    chosen = spark.sparkContext.getConf().contains("spark.sql.shuffle.partitions")
+    if not chosen and "spark.sql.shuffle.partitions" not in (conf or {}):
+        initial = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+        spark.conf.set(initial, str(INITIAL_PARTITIONS))
     return spark

@@ -29,6 +29,8 @@ AMOUNTS = {
     "-0.0": "0.0",
     "1.0E25": "1" + "0" * 25,
     "1e5": "100000",
+    "1e00005": "100000",
+    "1e99999": None,
     "1.50": "1.50",
     ".5": "0.5",
     "5.": "5",
