@@ -269,7 +269,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     )
     both = HashingTF(**_HASH).transform(ready).select("features", F.inline(sides))
     linear = LogisticRegression(
-        weightCol="weight", regParam=0.001, maxIter=40, standardization=False
+        weightCol="weight", regParam=0.02, maxIter=40, standardization=False
     ).fit(both)
     margins = VectorAssembler(inputCols=["margin"], outputCol="x").transform(
         _margin(linear, ready).select("margin", F.col("toxic").cast("double").alias("label"))
