@@ -60,12 +60,15 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string")) % 3 == 1, F.lit(False))
 
 
-def terms(text: Column) -> Column:
-    """Distinct words, lower-cased, and the beginnings of the longer ones (some twice)."""
-    words = F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+"))
-    long_words = F.filter(words, lambda w: F.length(w) >= PREFIXES[0])
-    starts = [F.transform(long_words, lambda w: F.substring(w, 1, n)) for n in PREFIXES]
-    return F.concat(F.array_remove(words, ""), *starts)
+def with_terms(rows: DataFrame, text: Column) -> DataFrame:
+    """Adds ``terms``: distinct words, lower-cased, and the beginnings of the longer ones
+    (some twice). The steps are columns of their own: functions with a lambda would
+    repeat the split for each use in one expression."""
+    columns = rows.columns
+    rows = rows.withColumn("words", F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")))
+    rows = rows.withColumn("long_words", F.filter("words", lambda w: F.length(w) >= PREFIXES[0]))
+    starts = [F.transform("long_words", lambda w: F.substring(w, 1, n)) for n in PREFIXES]
+    return rows.select(*columns, F.concat(F.array_remove("words", ""), *starts).alias("terms"))
 
 
 def fired(term_column: Column, text: Column, voters: list[str]) -> Column:
@@ -187,7 +190,8 @@ def mined_terms(train: DataFrame, balance: float) -> list[str]:
     """Terms of toxic rows that are no accident: of terms in n rows, a share of
     balance^n would be in toxic rows alone."""
     counts = stored(
-        train.select("toxic", F.explode(F.array_distinct(terms(F.col("text")))).alias("term"))
+        with_terms(train, F.col("text"))
+        .select("toxic", F.explode(F.array_distinct("terms")).alias("term"))
         .groupBy("term")
         .agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
         .where(F.col("n") >= MINED_ROWS),
@@ -213,7 +217,7 @@ class Scorer:
         columns = docs.columns
         text = F.col("row.text").cast("string")
         rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"))
-        rows = rows.withColumn("terms", terms(F.coalesce(text, F.lit(""))))
+        rows = with_terms(rows, F.coalesce(text, F.lit("")))
         rows = rows.withColumn("votes", fired(F.col("terms"), F.coalesce(text, F.lit("")), self.voters))
         if self.linear is None:
             rows = rows.withColumn("score", self.labels.posterior(F.col("votes")))
@@ -249,12 +253,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     usable = 0 < bad < n
     balance = min(max(bad / n, 0.005), 0.5) if usable else DEFAULT_BALANCE
     voters = list(dict.fromkeys(LEXICON + (mined_terms(train, balance) if usable else [])))
-    all_votes = docs.select(text_of(docs).alias("text")).withColumn("terms", terms(F.col("text")))
+    all_votes = with_terms(docs.select(text_of(docs).alias("text")), F.col("text"))
     all_votes = stored(all_votes.select(fired(F.col("terms"), F.col("text"), voters).alias("votes")), "votes")
     model = fit_label_model(all_votes, len(voters) + len(PHRASES), balance)
     if not usable:
         return Scorer(voters, model)
-    ready = train.withColumn("terms", terms(F.col("text")))
+    ready = with_terms(train, F.col("text"))
     ready = ready.withColumn("votes", fired(F.col("terms"), F.col("text"), voters))
     ready = ready.select(
         with_votes(F.col("terms"), F.col("votes")).alias("terms"),
