@@ -44,6 +44,8 @@ PHRASES = ("kill yourself", "shut up", "go to hell", "i hate you", "drop dead",
 
 #: Bound on the rows the classifier and the mined terms are fitted on.
 TRAIN_ROWS = 20_000
+#: Parts of their features' table.
+TRAIN_PARTS = 12
 MINED_TERMS = 100
 #: A mined term occurs in so many toxic training rows at least, and so purely.
 MINED_ROWS, MINED_PURITY = 3, 0.9
@@ -223,7 +225,7 @@ class Scorer:
             rows = rows.withColumn("score", self.labels.posterior(F.col("votes")))
         else:
             rows = rows.withColumn("terms", with_votes(F.col("terms"), F.col("votes")))
-            margin = _margin(self.linear, rows)
+            margin = _margin(self.linear, HashingTF(**_HASH).transform(rows).drop("terms"))
             rows = margin.withColumn(
                 "score", 1 / (1 + F.exp(-(F.col("margin") * self.slope + self.shift)))
             )
@@ -240,10 +242,10 @@ _HASH = {"inputCol": "terms", "outputCol": "features", "numFeatures": FEATURES,
 
 
 def _margin(model, rows: DataFrame) -> DataFrame:
-    features = HashingTF(**_HASH).transform(rows)
-    out = model.transform(features)
+    """``margin`` of rows with ``features``; the model's other outputs are not made."""
+    out = model.transform(rows)
     return out.withColumn("margin", vector_to_array("rawPrediction")[1]).drop(
-        "features", "terms", "rawPrediction", "probability", "prediction"
+        "features", "rawPrediction"
     )
 
 
@@ -265,16 +267,19 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
         model.posterior(F.col("votes"), F.col("toxic")).alias("p"),
         "toxic",
     )
-    ready = stored(ready, "posteriors")
+    ready = HashingTF(**_HASH).transform(ready).drop("terms")
+    # Bounded by TRAIN_ROWS; each iteration is a job over these few parts.
+    ready = stored(ready.coalesce(TRAIN_PARTS), "posteriors")
     # A soft label is both labels, weighted.
     sides = F.array(
         F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
         F.struct(F.lit(0.0).alias("label"), (1 - F.col("p")).alias("weight")),
     )
-    both = HashingTF(**_HASH).transform(ready).select("features", F.inline(sides))
+    both = ready.select("features", F.inline(sides))
     linear = LogisticRegression(
         weightCol="weight", regParam=0.02, maxIter=40, standardization=False
     ).fit(both)
+    linear.setProbabilityCol("").setPredictionCol("")
     margins = VectorAssembler(inputCols=["margin"], outputCol="x").transform(
         _margin(linear, ready).select("margin", F.col("toxic").cast("double").alias("label"))
     )
