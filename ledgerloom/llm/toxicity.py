@@ -24,12 +24,17 @@ the score is the posterior of the fixed lexicon's voters. Other columns are carr
 from __future__ import annotations
 
 import math
+import re
+import zlib
+from collections.abc import Collection
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import HashingTF, VectorAssembler
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors, VectorUDT
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .shared import stored, text_of
@@ -62,37 +67,76 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("long").cast("string")) % 3 == 1, F.lit(False))
 
 
-def with_terms(rows: DataFrame, text: Column) -> DataFrame:
-    """Adds ``terms``: distinct words, lower-cased, and the beginnings of the longer ones
-    (some twice). The steps are columns of their own: functions with a lambda would
-    repeat the split for each use in one expression."""
-    columns = rows.columns
-    rows = rows.withColumn("words", F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")))
-    rows = rows.withColumn("long_words", F.filter("words", lambda w: F.length(w) >= PREFIXES[0]))
-    starts = [F.transform("long_words", lambda w: F.substring(w, 1, n)) for n in PREFIXES]
-    return rows.select(*columns, F.concat(F.array_remove("words", ""), *starts).alias("terms"))
+_WORD = re.compile(r"[^\W\d_]+")
 
 
-def fired(term_column: Column, text: Column, voters: list[str]) -> Column:
-    """Numbers of the voters that say toxic: terms first, then phrases."""
-    known = F.array(*map(F.lit, voters))
-    by_term = F.transform(
-        F.array_intersect(term_column, known), lambda t: F.array_position(known, t).cast("int") - 1
-    )
-    lower = F.lower(text)
-    by_phrase = F.array_compact(
-        F.array(*[F.when(F.contains(lower, F.lit(p)), F.lit(len(voters) + i)) for i, p in enumerate(PHRASES)])
-    )
-    return F.concat(by_term, by_phrase)
+def terms_of(lower: str) -> set[str]:
+    """Runs of letters, and the beginnings of the longer ones."""
+    words = set(lower.split())
+    mixed = [w for w in words if not w.isalpha()]
+    words.difference_update(mixed)
+    words.update(_WORD.findall(" ".join(mixed)))
+    long_words = [w for w in words if len(w) >= PREFIXES[0]]
+    return words.union(*[{w[:n] for w in long_words} for n in PREFIXES])
 
 
-def with_votes(term_column: Column, votes: Column) -> Column:
-    """The terms, and a mark for each vote and for one vote or more, two, four."""
-    marks = F.transform(votes, lambda v: F.concat(F.lit("#"), v.cast("string")))
-    levels = F.array_compact(
-        F.array(*[F.when(F.size(votes) >= n, F.lit(f"#{n}+")) for n in (1, 2, 4)])
-    )
-    return F.concat(term_column, marks, levels)
+def _places(terms: Collection[str]) -> np.ndarray:
+    """Places of the terms among FEATURES, ascending, each once."""
+    hashes = np.fromiter(map(zlib.crc32, map(str.encode, terms)), dtype=np.int64, count=len(terms))
+    return np.unique(hashes % FEATURES)
+
+
+class Reader:
+    """Reads a text: numbers of the voters that say toxic (terms first, then phrases),
+    and the hashed features: terms, a mark for each vote, and for one vote or more,
+    two, four."""
+
+    def __init__(self, voters: list[str]) -> None:
+        self.number = {t: i for i, t in enumerate(voters)}
+        self.phrases = [(len(voters) + i, p) for i, p in enumerate(PHRASES)]
+
+    def votes(self, text: str) -> list[int]:
+        lower = text.lower()
+        return self._votes(lower, terms_of(lower))
+
+    def features(self, text: str) -> np.ndarray:
+        lower = text.lower()
+        terms = terms_of(lower)
+        votes = self._votes(lower, terms)
+        terms.update(f"#{v}" for v in votes)
+        terms.update(f"#{n}+" for n in (1, 2, 4) if len(votes) >= n)
+        return _places(terms)
+
+    def _votes(self, lower: str, terms: set[str]) -> list[int]:
+        votes = [self.number[t] for t in self.number.keys() & terms]
+        votes += [i for i, phrase in self.phrases if phrase in lower]
+        return sorted(votes)
+
+
+def fired(text: Column, voters: list[str]) -> Column:
+    """Numbers of the voters that say toxic."""
+    reader = Reader(voters)
+
+    @F.pandas_udf("array<int>")
+    def votes(texts: pd.Series) -> pd.Series:
+        return texts.map(reader.votes)
+
+    return votes(text)
+
+
+def distinct_terms(text: Column) -> Column:
+    @F.pandas_udf("array<string>")
+    def terms(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: list(terms_of(t.lower())))
+
+    return terms(text)
+
+
+def _vector(found: Column) -> Column:
+    def sparse(places: list[int]):
+        return Vectors.sparse(FEATURES, places, [1.0] * len(places))
+
+    return F.udf(sparse, VectorUDT())(found)
 
 
 @dataclass
@@ -192,8 +236,7 @@ def mined_terms(train: DataFrame, balance: float) -> list[str]:
     """Terms of toxic rows that are no accident: of terms in n rows, a share of
     balance^n would be in toxic rows alone."""
     counts = stored(
-        with_terms(train, F.col("text"))
-        .select("toxic", F.explode(F.array_distinct("terms")).alias("term"))
+        train.select("toxic", F.explode(distinct_terms(F.col("text"))).alias("term"))
         .groupBy("term")
         .agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
         .where(F.col("n") >= MINED_ROWS),
@@ -211,24 +254,20 @@ class Scorer:
 
     voters: list[str]
     labels: LabelModel
-    linear: object = None
+    linear: tuple[np.ndarray, float] | None = None
     slope: float = 1.0
     shift: float = 0.0
 
     def score(self, docs: DataFrame) -> DataFrame:
         columns = docs.columns
-        text = F.col("row.text").cast("string")
         rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"))
-        rows = with_terms(rows, F.coalesce(text, F.lit("")))
-        rows = rows.withColumn("votes", fired(F.col("terms"), F.coalesce(text, F.lit("")), self.voters))
+        text = F.coalesce(F.col("row.text").cast("string"), F.lit(""))
         if self.linear is None:
+            rows = rows.withColumn("votes", fired(text, self.voters))
             rows = rows.withColumn("score", self.labels.posterior(F.col("votes")))
         else:
-            rows = rows.withColumn("terms", with_votes(F.col("terms"), F.col("votes")))
-            margin = _margin(self.linear, HashingTF(**_HASH).transform(rows).drop("terms"))
-            rows = margin.withColumn(
-                "score", 1 / (1 + F.exp(-(F.col("margin") * self.slope + self.shift)))
-            )
+            odds = self._margin(text) * self.slope + self.shift
+            rows = rows.withColumn("score", 1 / (1 + F.exp(-odds)))
         # A generator: a filter on the score stays above it, or it would repeat the scoring.
         rows = rows.withColumn("score", F.explode(F.array("score")))
         return rows.select(
@@ -238,15 +277,14 @@ class Scorer:
         )
 
 
-_HASH = {"inputCol": "terms", "outputCol": "features", "numFeatures": FEATURES, "binary": True}
+    def _margin(self, text: Column) -> Column:
+        reader, (weights, intercept) = Reader(self.voters), self.linear
 
+        @F.pandas_udf("double")
+        def margin(texts: pd.Series) -> pd.Series:
+            return texts.map(lambda t: intercept + weights[reader.features(t)].sum()).astype("float64")
 
-def _margin(model, rows: DataFrame) -> DataFrame:
-    """``margin`` of rows with ``features``; the model's other outputs are not made."""
-    out = model.transform(rows)
-    return out.withColumn("margin", vector_to_array("rawPrediction")[1]).drop(
-        "features", "rawPrediction"
-    )
+        return margin(text)
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
@@ -255,19 +293,21 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     usable = 0 < bad < n
     balance = min(max(bad / n, 0.005), 0.5) if usable else DEFAULT_BALANCE
     voters = list(dict.fromkeys(LEXICON + (mined_terms(train, balance) if usable else [])))
-    all_votes = with_terms(docs.select(text_of(docs).alias("text")), F.col("text"))
-    all_votes = stored(all_votes.select(fired(F.col("terms"), F.col("text"), voters).alias("votes")), "votes")
+    all_votes = stored(docs.select(fired(text_of(docs), voters).alias("votes")), "votes")
     model = fit_label_model(all_votes, len(voters) + len(PHRASES), balance)
     if not usable:
         return Scorer(voters, model)
-    ready = with_terms(train, F.col("text"))
-    ready = ready.withColumn("votes", fired(F.col("terms"), F.col("text"), voters))
-    ready = ready.select(
-        with_votes(F.col("terms"), F.col("votes")).alias("terms"),
+    reader = Reader(voters)
+
+    @F.pandas_udf("array<int>")
+    def features(texts: pd.Series) -> pd.Series:
+        return texts.map(reader.features)
+
+    ready = train.withColumn("votes", fired(F.col("text"), voters)).select(
+        _vector(features("text")).alias("features"),
         model.posterior(F.col("votes"), F.col("toxic")).alias("p"),
         "toxic",
     )
-    ready = HashingTF(**_HASH).transform(ready).drop("terms")
     # Bounded by TRAIN_ROWS; each iteration is a job over these few parts.
     ready = stored(ready.coalesce(TRAIN_PARTS), "posteriors")
     # A soft label is both labels, weighted.
@@ -280,11 +320,13 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
         weightCol="weight", regParam=0.02, maxIter=40, standardization=False
     ).fit(both)
     linear.setProbabilityCol("").setPredictionCol("")
+    raw = linear.transform(ready).withColumn("margin", vector_to_array("rawPrediction")[1])
     margins = VectorAssembler(inputCols=["margin"], outputCol="x").transform(
-        _margin(linear, ready).select("margin", F.col("toxic").cast("double").alias("label"))
+        raw.select("margin", F.col("toxic").cast("double").alias("label"))
     )
     fitted = LogisticRegression(featuresCol="x", maxIter=30, regParam=1e-4, standardization=False).fit(margins)
     slope, shift = float(fitted.coefficients[0]), float(fitted.intercept)
     if slope <= 0:
         slope, shift = 1.0, 0.0
-    return Scorer(voters, model, linear, slope, shift)
+    weights = (linear.coefficients.toArray(), float(linear.intercept))
+    return Scorer(voters, model, weights, slope, shift)
