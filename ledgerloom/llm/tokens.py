@@ -1,13 +1,14 @@
 """Token ids of whole texts, with the ids of frequent words kept.
 
-Both vocabularies used here never join text across certain places, so a text is cut
-there into pieces, and each piece is encoded by the tokenizers library once and looked
-up after that. Ids are the same as those of the uncut text (see the tests). The places:
-
-* before a space, unless it stands between two blanks (or a blank and the end), where
-  the vocabulary may take blanks together;
-* inside a piece, between a letter and a comma or full stop, and before a line end
-  that follows a visible character.
+Both vocabularies used here never join text across a space, unless it stands between
+two blanks (or a blank and the end), where they may take blanks together. So a text is
+cut before its other spaces, and each piece is encoded by the tokenizers library once
+and looked up after that. Ids are the same as those of the uncut text (see the tests).
+
+A call of the library costs more than a short piece, so new pieces are strung together
+with a digit after each. Neither vocabulary joins a digit to a letter or sign before it
+or to a space after it, and its id shows where a piece ends. Pieces that hold that
+digit, or end in neither a letter nor a sign, are encoded one by one.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import functools
 import itertools
 import os
 import re
+import string
 from array import array
 from collections.abc import Iterator
 
@@ -23,9 +25,14 @@ import numpy as np
 
 _BLANK_AND_SPACE = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
 _SAFE_SPACE = re.compile(r" (?=\S)")
-_INSIDE = re.compile(r"(?<=[A-Za-z])(?=[,.])|(?<=\S)(?=\n)")
-#: Pieces kept in a worker, and their characters; beyond that it starts anew.
-MAX_PIECES, MAX_CHARS = 1_000_000, 16_000_000
+#: Written after each of the pieces that are encoded together.
+MARK = "0"
+_ENDS = frozenset(string.punctuation)
+#: Pieces strung together.
+PIECES_AT_ONCE = 256
+#: Pieces kept in a worker, and their ids; beyond that only the first ones, which are
+#: the most frequent by and large, are kept.
+MAX_PIECES, FIRST_PIECES, MAX_IDS = 1_000_000, 300_000, 8_000_000
 #: Characters that are encoded at once.
 CHARS_AT_ONCE = 1 << 17
 
@@ -48,37 +55,62 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self._clear()
-
-    def _clear(self) -> None:
+        mark = self.library.encode(MARK, add_special_tokens=False).ids
+        self.mark_id = mark[0] if len(mark) == 1 else None
         self.known: dict[object, int] = {}
-        self.parts: dict[str, bytes] = {}
         self.ids = np.empty(1 << 16, dtype=np.uint32)
         self.ends = np.zeros(1 << 12, dtype=np.int64)
-        self.chars = 0
+
+    def _trim(self) -> None:
+        """Forgets all but the first pieces, or all if those are too long to keep."""
+        keep = FIRST_PIECES if len(self.known) > FIRST_PIECES else 0
+        if self.ends[keep] > MAX_IDS // 2:
+            keep = 0
+        self.known = dict(itertools.islice(self.known.items(), keep))
+
+    def _ids(self, texts: list[str]) -> list[array]:
+        return [array("I", e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _strung(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """The ids of the pieces, and how many each has."""
+        some = range(0, len(pieces), PIECES_AT_ONCE)
+        after = MARK + " "
+        ids = self._ids([f" {after.join(pieces[i : i + PIECES_AT_ONCE])}{MARK}" for i in some])
+        flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
+        marks = flat == self.mark_id
+        ends = np.flatnonzero(marks)
+        if len(ends) != len(pieces):
+            return None
+        return flat[~marks], np.diff(ends, prepend=-1) - 1
 
     def _add(self, pieces: list) -> None:
-        cut = [_INSIDE.split(p[0] if type(p) is tuple else " " + p) for p in pieces]
-        new = [x for x in dict.fromkeys(itertools.chain.from_iterable(cut)) if x not in self.parts]
-        if new:
-            encoded = self.library.encode_batch_fast(new, add_special_tokens=False)
-            self.parts.update(zip(new, [array("I", e.ids).tobytes() for e in encoded]))
-        part = self.parts.__getitem__
-        lists = [b"".join(map(part, c)) for c in cut]
+        strung, single = [], []
+        for p in pieces:
+            fits = type(p) is str and p and MARK not in p and not p[0].isspace()
+            if fits and (p[-1].isalpha() or p[-1] in _ENDS):
+                strung.append(p)
+            else:
+                single.append(p)
+        found = self._strung(strung) if strung and self.mark_id is not None else None
+        if found is None:
+            single, strung = pieces, []
+            found = np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.int64)
+        lists = self._ids([p[0] if type(p) is tuple else " " + p for p in single])
+        new = np.concatenate([found[0], np.frombuffer(b"".join(lists), dtype=np.uint32)])
         n = len(self.known)
-        ends = self.ends[n] + np.cumsum([len(x) // 4 for x in lists])
+        lengths = np.concatenate([found[1], np.array([len(x) for x in lists], dtype=np.int64)])
+        ends = self.ends[n] + np.cumsum(lengths)
         while ends[-1] > len(self.ids):
             self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while n + 1 + len(lists) > len(self.ends):
+        while n + 1 + len(ends) > len(self.ends):
             self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[self.ends[n] : ends[-1]] = np.frombuffer(b"".join(lists), dtype=np.uint32)
-        self.ends[n + 1 : n + 1 + len(lists)] = ends
-        self.known.update(zip(pieces, range(n, n + len(pieces))))
-        self.chars += sum(map(len, new))
+        self.ids[self.ends[n] : ends[-1]] = new
+        self.ends[n + 1 : n + 1 + len(ends)] = ends
+        self.known.update(zip(strung + single, range(n, n + len(pieces))))
 
     def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > MAX_PIECES or self.chars > MAX_CHARS:
-            self._clear()
+        if len(self.known) > MAX_PIECES or self.ends[len(self.known)] > MAX_IDS:
+            self._trim()
         pieces, counts = [], []
         for text in texts:
             some = pieces_of(text)

@@ -242,9 +242,12 @@ def test_mixing_odd_rows(odd_docs, no_docs):
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_cached_pieces_give_the_ids_of_whole_texts(texts, name, monkeypatch):
     monkeypatch.setattr("ledgerloom.llm.tokens.MAX_PIECES", 500)
+    monkeypatch.setattr("ledgerloom.llm.tokens.FIRST_PIECES", 200)
     monkeypatch.setattr("ledgerloom.llm.tokens.CHARS_AT_ONCE", 5000)
     odd = ["", " ", "  ", "a  b", " a", "a ", "x\n\n y", "it's  'tis\t   q", "e ́x", "\x1c \x1d a \x1cb",
-           "<|endoftext|> x <|endoftext|>", "日本語 テキスト", "a  b  c", "ſ K", "12 34,5 $6", "don't I'LL"]
+           "<|endoftext|> x <|endoftext|>", "日本語 テキスト", "a  b  c", "ſ K", "12 34,5 $6", "don't I'LL",
+           "x 0 y", "a 1 2b c3 d", "n² ½ m² 7½ Ⅷ v", "f_ _ g __ 0_ _0", "h\n 0 i \n\nj k\u0301 \u0301l", "٣ ४ ok 𝟘 ０ Σ ΟΣ",
+           "0", "00 0", "' 's 't 0's", "a<|endoftext|> b<|endoftext|>0 c"]
     some = odd + [t for t in list(texts.values())[:60]]
     encode = Encoder(queries.tokenizer(name))
     whole = [e.ids for e in encode.library.encode_batch(some, add_special_tokens=False)]
