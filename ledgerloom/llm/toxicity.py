@@ -63,23 +63,24 @@ def held_out(doc_id: Column) -> Column:
 
 
 def with_terms(rows: DataFrame, text: Column) -> DataFrame:
-    """Adds ``terms``: distinct words, lower-cased, and the beginnings of the longer ones
-    (some twice). The steps are columns of their own: functions with a lambda would
-    repeat the split for each use in one expression."""
+    """Adds ``lower``, the text in lower case, and ``terms``: its distinct words, and the
+    beginnings of the longer ones (some twice). The steps are columns of their own:
+    functions with a lambda would repeat the split for each use in one expression."""
     columns = rows.columns
-    rows = rows.withColumn("words", F.array_distinct(F.split(F.lower(text), r"[^\p{L}]+")))
-    rows = rows.withColumn("long_words", F.filter("words", lambda w: F.length(w) >= PREFIXES[0]))
+    rows = rows.withColumn("lower", F.lower(text))
+    rows = rows.withColumn("words", F.array_distinct(F.split("lower", r"[^\p{L}]+")))
+    rows = rows.withColumn("long_words", F.filter("words", lambda w: F.length(w) > PREFIXES[0]))
     starts = [F.transform("long_words", lambda w: F.substring(w, 1, n)) for n in PREFIXES]
-    return rows.select(*columns, F.concat(F.array_remove("words", ""), *starts).alias("terms"))
+    return rows.select(*columns, "lower", F.concat(F.array_remove("words", ""), *starts).alias("terms"))
 
 
-def fired(term_column: Column, text: Column, voters: list[str]) -> Column:
-    """Numbers of the voters that say toxic: terms first, then phrases."""
+def fired(term_column: Column, lower: Column, voters: list[str]) -> Column:
+    """Numbers of the voters that say toxic: terms first, then phrases. ``lower`` is a
+    column, not an expression: each phrase would evaluate it again."""
     known = F.array(*map(F.lit, voters))
     by_term = F.transform(
         F.array_intersect(term_column, known), lambda t: F.array_position(known, t).cast("int") - 1
     )
-    lower = F.lower(text)
     by_phrase = F.array_compact(
         F.array(*[F.when(F.contains(lower, F.lit(p)), F.lit(len(voters) + i)) for i, p in enumerate(PHRASES)])
     )
@@ -220,7 +221,7 @@ class Scorer:
         text = F.col("row.text").cast("string")
         rows = docs.select(F.struct(*[docs[c] for c in columns]).alias("row"))
         rows = with_terms(rows, F.coalesce(text, F.lit("")))
-        rows = rows.withColumn("votes", fired(F.col("terms"), F.coalesce(text, F.lit("")), self.voters))
+        rows = rows.withColumn("votes", fired(F.col("terms"), F.col("lower"), self.voters)).drop("lower")
         if self.linear is None:
             rows = rows.withColumn("score", self.labels.posterior(F.col("votes")))
         else:
@@ -256,12 +257,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     balance = min(max(bad / n, 0.005), 0.5) if usable else DEFAULT_BALANCE
     voters = list(dict.fromkeys(LEXICON + (mined_terms(train, balance) if usable else [])))
     all_votes = with_terms(docs.select(text_of(docs).alias("text")), F.col("text"))
-    all_votes = stored(all_votes.select(fired(F.col("terms"), F.col("text"), voters).alias("votes")), "votes")
+    all_votes = stored(all_votes.select(fired(F.col("terms"), F.col("lower"), voters).alias("votes")), "votes")
     model = fit_label_model(all_votes, len(voters) + len(PHRASES), balance)
     if not usable:
         return Scorer(voters, model)
     ready = with_terms(train, F.col("text"))
-    ready = ready.withColumn("votes", fired(F.col("terms"), F.col("text"), voters))
+    ready = ready.withColumn("votes", fired(F.col("terms"), F.col("lower"), voters))
     ready = ready.select(
         with_votes(F.col("terms"), F.col("votes")).alias("terms"),
         model.posterior(F.col("votes"), F.col("toxic")).alias("p"),
