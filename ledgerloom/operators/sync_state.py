@@ -96,14 +96,20 @@ def pending(
 
 
 def _ranges(state: DataFrame, upto: DataFrame | None, start_block: int) -> DataFrame:
-    """Per task the open block range (low, high]."""
-    low = state.select("task_name", F.col("last_processed_block").alias("low"))
+    """Per task the open block range (low, high]. A state written by hand means the same
+    to both forms of `pending`: of a repeated task the highest watermark holds, one
+    without a watermark starts at `start_block`, and rows without a task are ignored."""
+    low = _per_task(state, "low")
     if upto is None:
-        return low.withColumn("high", F.lit(None).cast("bigint"))
-    high = upto.select("task_name", F.col("last_processed_block").alias("high"))
-    return high.join(low, "task_name", "left").select(
-        "task_name", F.coalesce("low", F.lit(start_block)).alias("low"), "high"
-    )
+        high = low.withColumn("high", F.lit(None).cast("bigint"))
+    else:
+        high = _per_task(upto, "high").join(low, "task_name", "left")
+    return high.select("task_name", F.coalesce("low", F.lit(start_block)).alias("low"), "high")
+
+
+def _per_task(state: DataFrame, name: str) -> DataFrame:
+    known = state.where(F.col("task_name").isNotNull())
+    return known.groupBy("task_name").agg(F.max("last_processed_block").alias(name))
 
 
 def _pending_by_join(

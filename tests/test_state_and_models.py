@@ -101,6 +101,22 @@ def test_pending_by_filter_and_by_join_agree(spark, state, monkeypatch, limit):
     assert set(map(tuple, pending(rows, state, upto=upto).collect())) == expected
 
 
+@pytest.mark.parametrize("limit", [100, 0])
+def test_pending_of_an_odd_state(spark, monkeypatch, limit):
+    """No watermark, no task, a task twice: the same answer from both forms."""
+    monkeypatch.setattr(sync_state, "MAX_FILTER_CHAINS", limit)
+    state = spark.createDataFrame(
+        [("bsc", None), (None, 5), ("eth", 10_010), ("eth", 10_020)],
+        "task_name STRING, last_processed_block BIGINT",
+    )
+    numbers = (10_000, 10_001, 10_015, 10_021)
+    rows = block_numbers(spark, [(c, n) for c in ("bsc", "eth", "new", None) for n in numbers])
+    found = sorted(map(tuple, pending(rows, state).collect()), key=str)
+    above = [n for n in numbers if n > 10_000]
+    expected = [("eth", 10_021)] + [(c, n) for c in ("bsc", "new", None) for n in above]
+    assert found == sorted(expected, key=str)
+
+
 def test_pending_reaches_the_scan(spark, state, tmp_path):
     path = str(tmp_path / "blocks")
     rows = spark.range(100).select(F.lit("bsc").alias("chainName"), F.col("id").alias("blockNumber"))
