@@ -7,7 +7,8 @@ documents have too are repeated passages.
 
 A passage reaches into the chunks around its run at most. A run is reported if it has
 ``RUN_WORDS`` words, and with the two chunks around it ``PASSAGE_WORDS``. Where a
-chunk occurs first (smallest doc_id, nulls last, then the first row read) it is kept.
+chunk occurs first (smallest doc_id, nulls last, then the first row read) it is kept; a
+run of which only some chunks are kept is a row for each part, however short.
 
 Null texts count as empty and have no chunk. Repeats inside one row alone are not
 reported; rows that repeat a text are, whatever their doc_id. Other columns are
@@ -116,7 +117,8 @@ def chunk(docs: DataFrame) -> DataFrame:
 
 
 def repeats(docs: DataFrame) -> DataFrame:
-    """A row for each repeated passage of a document: doc_id, start_char, end_char (end
+    """A row for each repeated passage of a document, or each part of one that is kept
+    throughout or not at all: doc_id, start_char, end_char (end
     exclusive), n_words, n_chunks, kept (it occurs here first), first_doc_id (where its
     first chunk does), n_copies (of its most frequent chunk)."""
     docs_chunks = chunk(docs)
@@ -171,9 +173,21 @@ def repeats(docs: DataFrame) -> DataFrame:
             F.max("n_copies").alias("n_copies"),
             F.min_by("before", "place").alias("before"),
             F.max_by("after", "place").alias("after"),
+            F.min("place").alias("place"),
         )
     )
-    long_enough = (F.col("n_words") >= RUN_WORDS) & (
-        F.col("n_words") + F.col("before") + F.col("after") >= PASSAGE_WORDS
+    # Parts that follow each other without a gap are one run, which is tested as a whole.
+    in_row = W.partitionBy("row_id").orderBy("place")
+    earlier = F.coalesce(F.sum("n_chunks").over(in_row.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    runs = runs.withColumn("whole", F.col("place") - earlier)
+    whole = W.partitionBy("row_id", "whole")
+    runs = runs.withColumns(
+        {
+            "run_words": F.sum("n_words").over(whole),
+            "around": F.min_by("before", "place").over(whole) + F.max_by("after", "place").over(whole),
+        }
+    )
+    long_enough = (F.col("run_words") >= RUN_WORDS) & (F.col("run_words") + F.col("around") >= PASSAGE_WORDS)
+    return runs.where(long_enough).drop(
+        "row_id", "run", "before", "after", "place", "whole", "run_words", "around"
     )
-    return runs.where(long_enough).drop("row_id", "run", "before", "after")

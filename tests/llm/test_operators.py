@@ -583,6 +583,32 @@ def test_planted_passages(spark):
         assert (r["first_doc_id"] == r["doc_id"]) == r["kept"]
 
 
+def test_passage_half_of_which_occurs_earlier(spark):
+    rng = np.random.default_rng(12)
+    new = lambda n: ["".join(rng.choice(list("abcdefghijklmnopqrstuvwxyz"), rng.integers(2, 9))) for _ in range(n)]
+    halves, holders = [], []
+    for i in range(0, 180, 3):
+        passage = new(65)
+        halves.append((i, " ".join(new(60) + passage[:32] + new(60))))
+        holders += [(i + j, " ".join(new(60) + passage + new(60))) for j in (1, 2)]
+
+    def found(rows):
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+        parts = collections.defaultdict(list)
+        for r in sorted(chunk_dedup.repeats(docs).collect(), key=lambda r: r["start_char"]):
+            parts[r["doc_id"]].append(r)
+            assert (r["first_doc_id"] == r["doc_id"]) == r["kept"]
+        return parts
+
+    alone, split = found(holders), found(holders + halves)
+    assert len(alone) > 100 and set(alone) <= set(split)
+    # The first holder keeps what is new there, and only that.
+    assert sum(len({r["kept"] for r in split[i]}) == 2 for i, _ in holders[::2]) > 30
+    for i, _ in holders:
+        assert all(a["end_char"] <= b["start_char"] for a, b in zip(split[i], split[i][1:]))
+        assert i % 3 == 1 or not any(r["kept"] for r in split[i])
+
+
 def test_chunk_dedup_odd_rows(odd_docs, no_docs):
     found = chunk_dedup.repeats(odd_docs).collect()
     assert {r["doc_id"] for r in found} == {7, 8}
