@@ -5,7 +5,8 @@ counted exactly. Each notice may have k errors (characters inserted, deleted or
 replaced), k growing with its length. Cut into k + 1 seeds, one of which must then
 occur unharmed, it is found by one pass of an Aho-Corasick automaton over the seeds of
 all notices; around each seed the regex library's bounded-error matching confirms the
-notice, with its best alignment, or rejects it. Every candidate is confirmed.
+notice, with its best alignment, or rejects it. Every candidate is confirmed, in a window
+of its own; of matches that overlap the one with fewest errors is taken.
 
 Null texts count as empty. Rows are independent: repeated or null doc_ids are kept.
 Other columns are ignored.
@@ -13,7 +14,9 @@ Other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import functools
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -83,25 +86,50 @@ def _search():
     return automaton, patterns
 
 
+def _places(line: str, pattern, least: int, windows: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    """(start, end, errors) of disjoint matches, fewest errors first. What a window has
+    left of a taken match and right of it is searched again, if a match (``least``
+    characters or more) still fits there."""
+    taken: list[tuple[int, int, int]] = []
+    heap: list[tuple[int, int, int, int, int]] = []
+
+    def search(lo: int, hi: int) -> None:
+        if hi - lo >= least and (m := pattern.search(line, lo, hi)):
+            heapq.heappush(heap, (sum(m.fuzzy_counts), m.start(), m.end(), lo, hi))
+
+    for lo, hi in windows:
+        search(lo, hi)
+    while heap:
+        errors, start, end, lo, hi = heapq.heappop(heap)
+        at = bisect.bisect(taken, (start,))
+        near = [t for t in taken[max(at - 1, 0) : at + 1] if t[0] < end and start < t[1]]
+        if not near:
+            near = [(start, end, errors)]
+            taken.insert(at, near[0])
+        search(lo, near[0][0])
+        search(near[0][1], hi)
+    return taken
+
+
 def notices(line: str) -> list[tuple[str, int, int, int]]:
     """(notice, start, end, errors) in the reduced text, each place once."""
     automaton, patterns = _search()
-    windows: dict[str, list[list[int]]] = {}
+    candidates: dict[str, set[int]] = {}
     for end, (length, places) in automaton.iter(line):
         for notice, at in places:
-            k = allowed_errors(notice)
-            start = end - length + 1 - at
-            lo, hi = max(0, start - k), min(len(line), start + len(notice) + k)
-            spans = windows.setdefault(notice, [])
-            if spans and lo <= spans[-1][1] and hi - spans[-1][0] <= 4 * len(notice):
-                spans[-1] = [min(lo, spans[-1][0]), max(hi, spans[-1][1])]
+            candidates.setdefault(notice, set()).add(end - length + 1 - at)
+    found = []
+    for notice, starts in candidates.items():
+        k = allowed_errors(notice)
+        # Seeds of one place, shifted by its errors, share a window; two places never fit.
+        groups: list[list[int]] = []
+        for start in sorted(starts):
+            if groups and start - groups[-1][0] <= 2 * k:
+                groups[-1][1] = start
             else:
-                spans.append([lo, hi])
-    found = set()
-    for notice, spans in windows.items():
-        for lo, hi in spans:
-            for m in patterns[notice].finditer(line, lo, hi):
-                found.add((notice, m.start(), m.end(), sum(m.fuzzy_counts)))
+                groups.append([start, start])
+        windows = [(max(0, a - k), min(len(line), b + len(notice) + k)) for a, b in groups]
+        found += [(notice, *x) for x in _places(line, patterns[notice], len(notice) - k, windows)]
     return sorted(found, key=lambda f: (f[1], f[2], f[0]))
 
 

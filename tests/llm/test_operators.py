@@ -173,6 +173,17 @@ def test_fuzzy_notices_against_all_alignments():
     assert found > 50
 
 
+def test_notices_close_together():
+    worse, exact = "all right reserved", "all rights reserved"
+    for parts in ([worse, exact], [exact, worse], [worse, exact, worse], [exact] * 3, [worse, worse, exact] * 40):
+        for gap in (" foo ", " "):
+            line = "xx " + gap.join(parts) + " yy"
+            found = [f for f in license_scan.notices(line) if f[0] == exact]
+            assert [f[3] for f in found] == [int(p == worse) for p in parts], line
+            assert all(p in line[a:b] or b - a >= 17 for p, (_, a, b, _) in zip(parts, found))
+            assert all(x[2] <= y[1] for x, y in zip(found, found[1:]))
+
+
 def test_license_spans_and_odd_rows(spark, odd_docs, no_docs):
     text = "Intro.\nLicensed under the  MIT\tLicense; Relased under the Apache-Licence, Version 2.0"
     (row,) = license_scan.scan_licenses(spark.createDataFrame([(1, text)], "doc_id long, text string")).collect()
