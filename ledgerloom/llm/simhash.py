@@ -12,7 +12,8 @@ Two ways to find what shares a block:
   choice of bit fields (pigeonhole), so all links are found.
 * ``near_groups``: for similarity on five-word shingles, where the radius is too
   large for that. Fields of a 256-bit fingerprint are probed as they are and with
-  their least certain bits flipped. Recall is measured in the tests.
+  their least certain bits flipped. What they link are candidates; a link needs the
+  Jaccard similarity of the shingle sets.
 
 Equal fingerprints are one node, however many documents have them. A group of
 nodes is returned as links to one of its members, never as all pairs.
@@ -26,7 +27,7 @@ from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -45,14 +46,15 @@ BLOCK = 1024
 TILE = 4096
 #: Queries times words of a plane that are compared at once.
 WORDS_AT_ONCE = 1 << 13
+#: Shingle hashes of a tile, in bytes.
+TILE_BYTES = 1 << 25
 
 # --- fingerprints -----------------------------------------------------------
 
 
-def bit_votes(text: str, width: int, seeds: tuple[int, ...]) -> tuple[np.ndarray, int]:
-    """How many shingles set each bit (64 bits a seed), and the number of shingles."""
+def shingle_hashes(text: str, width: int) -> Iterator[np.ndarray]:
+    """Hashes of all shingles, in stretches. A shorter text is one shingle."""
     words = WORD.findall(text)
-    votes = np.zeros(64 * len(seeds), dtype=np.int64)
     count = max(len(words) - width + 1, 1 if words else 0)
     for at in range(0, count, SHINGLES_AT_ONCE):
         some = words[at : at + min(SHINGLES_AT_ONCE, count - at) + width - 1]
@@ -60,9 +62,15 @@ def bit_votes(text: str, width: int, seeds: tuple[int, ...]) -> tuple[np.ndarray
             texts = [" ".join(words)]
         else:
             texts = map(" ".join, zip(*(some[i:] for i in range(width))))
-        hashes = np.fromiter(
-            (xxhash.xxh64_intdigest(t, seed=SEED) for t in texts), dtype=np.uint64
-        )
+        yield np.fromiter((xxhash.xxh64_intdigest(t, seed=SEED) for t in texts), dtype=np.uint64)
+
+
+def bit_votes(stretches: Iterable[np.ndarray], seeds: tuple[int, ...]) -> tuple[np.ndarray, int]:
+    """How many shingles set each bit (64 bits a seed), and the number of shingles."""
+    votes = np.zeros(64 * len(seeds), dtype=np.int64)
+    count = 0
+    for hashes in stretches:
+        count += len(hashes)
         for i, seed in enumerate(seeds):
             mixed = hashes if seed == SEED else _remix(hashes, seed)
             bits = np.unpackbits(mixed.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
@@ -92,7 +100,7 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
         for batch in batches:
             fps = np.empty(len(batch), dtype=np.uint64)
             for i, text in enumerate(batch["text"]):
-                votes, count = bit_votes(text, width, (SEED,))
+                votes, count = bit_votes(shingle_hashes(text, width), (SEED,))
                 fps[i] = _pack(2 * votes > count)[0]
             yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
 
@@ -173,9 +181,27 @@ class _Forest:
                 self.root = self.root[self.root]
 
 
-def link_block(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
+def alike(sets: list[np.ndarray], one: int, others: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of the sets ``others`` have this Jaccard similarity to ``one`` or more."""
+    mine = sets[one]
+    sizes = np.array([len(sets[i]) for i in others])
+    flat = np.concatenate([sets[i] for i in others])
+    found = mine[np.minimum(np.searchsorted(mine, flat), len(mine) - 1)] == flat
+    shared = np.add.reduceat(found, np.append(0, np.cumsum(sizes)[:-1]), dtype=np.int64)
+    return shared >= similarity * (len(mine) + sizes - shared) - 1e-9
+
+
+def link_block(
+    left: np.ndarray,
+    right: np.ndarray | None,
+    radius: int,
+    sets: list[np.ndarray] | None = None,
+    similarity: float = 0.0,
+) -> tuple[np.ndarray, np.ndarray]:
     """Links of one block with itself (right None) or with another block, numbered
-    through left and then right, as a spanning forest."""
+    through left and then right, as a spanning forest. With ``sets`` (sorted, of left
+    and then right) a link needs this similarity too; pairs already connected are not
+    compared again."""
     other = left if right is None else right
     shift = 0 if right is None else len(left)
     forest = _Forest(len(left) if right is None else len(left) + len(right))
@@ -188,7 +214,19 @@ def link_block(left: np.ndarray, right: np.ndarray | None, radius: int) -> tuple
         real = lane < len(other)
         if right is None:
             real &= lane > q
-        forest.add(q[real], lane[real] + shift)
+        q, lane = q[real], lane[real] + shift
+        if sets is None:
+            forest.add(q, lane)
+            continue
+        order = np.argsort(q, kind="stable")
+        q, lane = q[order], lane[order]
+        edges = np.flatnonzero(np.diff(q, prepend=-1))
+        for at, to in zip(edges, [*edges[1:], len(q)]):
+            one, others = q[at], lane[at:to]
+            others = others[forest.root[others] != forest.root[one]]
+            if len(others):
+                others = others[alike(sets, one, others, similarity)]
+                forest.add(np.full(len(others), one), others)
     node = np.arange(len(forest.root))
     moved = forest.root != node
     return forest.root[moved], node[moved]
@@ -217,21 +255,27 @@ def key_bits_for(count: int, entries: int = 1) -> int:
     return max(1, int(np.ceil(np.log2(max(count * entries, 2) / BLOCK))))
 
 
-def _linked(rows: DataFrame, words: int, radius: int) -> DataFrame:
+def _linked(rows: DataFrame, words: int, radius: int, similarity: float | None = None) -> DataFrame:
     """(a, b) edges between the rows (block, node, fp binary) of each block. Blocks of
-    more than TILE rows are cut into slices, and each pair of slices is a task."""
-    counts = rows.groupBy("block").agg(F.count("*").alias("n")).where(F.col("n") > TILE)
-    counts = stored(counts.withColumn("slices", F.ceil(F.col("n") / TILE).cast("int")), "large")
+    more than TILE rows are cut into slices, and each pair of slices is a task. With a
+    similarity, rows have ``shingles`` (binary, sorted hashes), which must be so alike."""
+    exact = [] if similarity is None else ["shingles"]
+    size = F.count("*") / TILE
+    if exact:
+        size = F.greatest(size, F.sum(F.length("shingles")) / TILE_BYTES)
+    counts = rows.groupBy("block").agg(F.ceil(size).cast("int").alias("slices"))
+    counts = stored(counts.where(F.col("slices") > 1), "large")
     slices = F.coalesce("slices", F.lit(1))
     own = F.pmod(F.xxhash64("node", F.lit(7)), slices).cast("int")
     tiles = (
         rows.join(counts.select("block", "slices"), "block", "left")
-        .select("block", "node", "fp", own.alias("slice"), slices.alias("slices"))
+        .select("block", "node", "fp", *exact, own.alias("slice"), slices.alias("slices"))
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)))
         .select(
             "block",
             "node",
             "fp",
+            *exact,
             "slice",
             F.least("slice", "other").alias("lo"),
             F.greatest("slice", "other").alias("hi"),
@@ -242,12 +286,15 @@ def _linked(rows: DataFrame, words: int, radius: int) -> DataFrame:
         batch = batch.sort_values("node")
         nodes = batch["node"].to_numpy()
         fps = np.frombuffer(b"".join(batch["fp"]), dtype="<u8").reshape(-1, words)
+        sets = [np.frombuffer(x, dtype="<u8") for x in batch["shingles"]] if exact else None
         if batch["lo"].iat[0] == batch["hi"].iat[0]:
-            a, b = link_block(fps, None, radius)
+            a, b = link_block(fps, None, radius, sets, similarity)
         else:
             first = (batch["slice"] == batch["lo"]).to_numpy()
             nodes = np.concatenate([nodes[first], nodes[~first]])
-            a, b = link_block(fps[first], fps[~first], radius)
+            if exact:
+                sets = [sets[i] for i in np.argsort(~first, kind="stable")]
+            a, b = link_block(fps[first], fps[~first], radius, sets, similarity)
         return pd.DataFrame({"a": nodes[a], "b": nodes[b]})
 
     return tiles.groupBy("block", "lo", "hi").applyInPandas(compare, "a long, b long")
@@ -293,18 +340,33 @@ WIDE_SEEDS = (SEED, 1, 2, 3)
 FIELDS, FIELD_BITS, FLIPS = 8, 16, 2
 
 
+#: A candidate's bits may differ by so many standard deviations more than expected; and
+#: the largest expected share at 0.8, of four and five shingles, where ties are frequent.
+DEVIATIONS, SHORT_SHARE = 4, 3 / 16
+
+
 def wide_radius(similarity: float) -> int:
     """Differing bits expected at this Jaccard similarity of the shingle sets, plus
-    one standard deviation: of 256 bits, each differs with probability angle / pi."""
-    share = np.arccos(2 * similarity / (1 + similarity)) / np.pi
+    DEVIATIONS: of 256 bits, each differs with probability angle / pi."""
+    share = max(np.arccos(2 * similarity / (1 + similarity)) / np.pi, SHORT_SHARE)
     bits = 64 * len(WIDE_SEEDS)
-    return int(bits * share + np.sqrt(bits * share * (1 - share)))
+    return int(np.ceil(bits * share + DEVIATIONS * np.sqrt(bits * share * (1 - share))))
+
+
+def distinct_shingles(text: str) -> np.ndarray:
+    """Sorted hashes of the five-word shingles, each once; without words that of nothing."""
+    found = list(shingle_hashes(text, WIDE_WIDTH))
+    return np.unique(np.concatenate(found or [np.array([xxhash.xxh64_intdigest("", seed=SEED)], dtype=np.uint64)]))
+
+
+def _wide_votes(hashes: np.ndarray) -> tuple[np.ndarray, int]:
+    return bit_votes((hashes[i : i + SHINGLES_AT_ONCE] for i in range(0, len(hashes), SHINGLES_AT_ONCE)), WIDE_SEEDS)
 
 
 def near_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
-    """doc_id, fp, component_id: documents whose five-word shingles have about this
-    similarity or more, as their 256-bit fingerprints tell it; fp names the
-    fingerprint."""
+    """doc_id, fp, component_id: documents whose sets of five-word shingles have this
+    Jaccard similarity or more are linked; fp names the lower-cased text. The 256-bit
+    fingerprints find the candidates, whose sets are then compared."""
     radius = wide_radius(similarity)
     prefix = min(FIELD_BITS, max(4, key_bits_for(docs.count(), 1 << FLIPS)))
 
@@ -312,17 +374,16 @@ def near_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
         for batch in batches:
             wide, doubts = [], []
             for text in batch["text"]:
-                votes, count = bit_votes(text, WIDE_WIDTH, WIDE_SEEDS)
+                votes, count = _wide_votes(distinct_shingles(text))
                 wide.append(_pack(2 * votes > count).tobytes())
                 margin = np.abs(2 * votes - count)[: FIELDS * FIELD_BITS]
                 margin = margin.reshape(FIELDS, FIELD_BITS)[:, :prefix]
                 order = np.argsort(margin, axis=1, kind="stable")
                 doubts.append(order[:, :FLIPS].astype(np.uint8).tobytes())
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "wide": wide, "doubts": doubts})
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": batch["fp"], "wide": wide, "doubts": doubts})
 
-    texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), ascii_lower(text_of(docs)).alias("text"))
-    fps = texts.mapInPandas(run, "doc_id long, wide binary, doubts binary")
-    fps = stored(fps.withColumn("fp", F.xxhash64("wide")), "fps")
+    texts = _texts(docs)
+    fps = stored(texts.mapInPandas(run, "doc_id long, fp long, wide binary, doubts binary"), "fps")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min(F.struct("wide", "doubts")).alias("s"))
     nodes = stored(nodes.select("fp", "first", "s.*"), "nodes")
 
@@ -339,10 +400,30 @@ def near_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
                     yield pd.DataFrame({"block": block, "node": batch["fp"], "fp": batch["wide"]})
 
     rows = nodes.select("fp", "wide", "doubts").mapInPandas(keyed, "block long, node long, fp binary")
-    edges = _linked(rows, len(WIDE_SEEDS), radius)
+    candidates = components(_linked(rows, len(WIDE_SEEDS), radius))
+    edges = _linked(_with_shingles(texts, nodes, candidates), len(WIDE_SEEDS), radius, similarity)
     return _named(fps.select("doc_id", "fp"), nodes.select("fp", "first"), components(edges))
 
 
+def _texts(docs: DataFrame) -> DataFrame:
+    text = ascii_lower(text_of(docs))
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("fp"), text.alias("text"))
+
+
+def _with_shingles(texts: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """(block, node, fp, shingles) of the nodes in ``roots``, the root as their block."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            out = batch[["block", "node", "fp"]]
+            yield out.assign(shingles=[distinct_shingles(t).astype("<u8").tobytes() for t in batch["text"]])
+
+    members = nodes.join(roots.select(F.col("node").alias("fp"), F.col("root").alias("block")), "fp")
+    members = members.select(F.col("fp").alias("node"), F.col("wide").alias("fp"), "block")
+    rows = texts.select(F.col("fp").alias("node"), "text").join(members, "node").dropDuplicates(["node"])
+    return stored(rows.mapInPandas(run, "block long, node long, fp binary, shingles binary"), "shingles")
+
+
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the document with
     the smallest doc_id stays. Rows without a doc_id stay too."""

@@ -540,6 +540,40 @@ def test_near_copies_are_found_and_others_left_alone(spark):
     assert kept == {i for i, c in got.items() if i == c}
 
 
+def _pairs_around_the_bar(rng, n):
+    """Documents 2 i and 2 i + 1 whose similarities are on both sides of 0.8."""
+    vocabulary = [f"w{i}" for i in range(3000)]
+    for i in range(n):
+        words = list(rng.choice(vocabulary, int(rng.integers(60, 400))))
+        copy = list(words)
+        wanted = rng.uniform(0.7, 0.86) if i % 2 else rng.uniform(0.8, 0.82)
+        while True:
+            one, two = " ".join(words), " ".join(copy)
+            a, b = _shingles(one), _shingles(two)
+            if len(a & b) / len(a | b) < wanted + 0.03 and (i % 2 or copy != words):
+                break
+            copy[int(rng.integers(0, len(copy)))] = f"v{rng.integers(0, 10**9)}"
+        yield 2 * i, one, a
+        yield 2 * i + 1, two, b
+
+
+def test_near_links_are_the_pairs_at_the_bar(spark):
+    rows = list(_pairs_around_the_bar(np.random.default_rng(8), 400))
+    # Few shingles, and two documents that have only a repeated line in common.
+    line = "one long line comes again and again "
+    rows += [(900, "a b c d e f g h", None), (901, "a b c d e f g h i", None), (902, "a b c d e f g", None)]
+    rows += [(910 + i, line * 60 + " ".join(f"{x}{j}" for j in range(40)), None) for i, x in enumerate("pq")]
+    sets = {i: _shingles(t) for i, t, _ in rows}
+    near = lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9
+    got = _as_dict(simhash.near_groups(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")))
+    wrong = [i for i in range(0, 800, 2) if (got[i]["component_id"] == got[i + 1]["component_id"]) != near(i, i + 1)]
+    in_band = lambda lo, hi: sum(lo <= len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) < hi for i in range(0, 800, 2))
+    assert in_band(0.8, 0.82) > 40 and in_band(0.7, 0.8) > 40
+    assert not wrong
+    assert near(900, 901) and not near(901, 902) and not near(900, 902) and not near(910, 911)
+    assert [got[i]["component_id"] for i in (900, 901, 902, 910, 911)] == [900, 900, 902, 910, 911]
+
+
 def test_simhash_odd_rows(odd_docs, no_docs):
     rows = simhash.fingerprint_groups(simhash.fingerprints(odd_docs)).collect()
     assert len(rows) == odd_docs.count()
