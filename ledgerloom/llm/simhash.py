@@ -11,9 +11,10 @@ Two ways to find what shares a block:
 * ``fingerprint_groups``: exact. Fingerprints within ``radius`` agree in some
   choice of bit fields (pigeonhole), so all links are found.
 * ``near_groups``: for similarity on five-word shingles, where the radius is too
-  large for that. Fields of a 256-bit fingerprint are probed as they are and with
-  their least certain bits flipped. What they link are candidates; a link needs the
-  Jaccard similarity of the shingle sets.
+  large for that. Sets that are alike share one of their first shingles (prefix
+  filter, complete at any size of the table), which are the blocks for 256-bit
+  fingerprints. What these link are candidates; a link needs the Jaccard similarity of
+  the shingle sets.
 
 Equal fingerprints are one node, however many documents have them. A group of
 nodes is returned as links to one of its members, never as all pairs.
@@ -336,8 +337,9 @@ def _named(fps: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
 
 WIDE_WIDTH = 5
 WIDE_SEEDS = (SEED, 1, 2, 3)
-#: Fields of 16 bits that are probed, and how many of a field's least certain bits.
-FIELDS, FIELD_BITS, FLIPS = 8, 16, 2
+#: A shingle is frequent if this many of about SAMPLE texts have it; at most so many are
+#: looked for. That only sets the order of shingles, any order is complete.
+SAMPLE, FREQUENT, MOST_FREQUENT = 4096, 8, 50_000
 
 
 #: A candidate's bits may differ by so many standard deviations more than expected; and
@@ -368,43 +370,67 @@ def near_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     Jaccard similarity or more are linked; fp names the lower-cased text. The 256-bit
     fingerprints find the candidates, whose sets are then compared."""
     radius = wide_radius(similarity)
-    prefix = min(FIELD_BITS, max(4, key_bits_for(docs.count(), 1 << FLIPS)))
+    texts = _texts(docs)
+    frequent = _frequent(texts, docs.count())
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            wide, doubts = [], []
+            wide, keys = [], []
             for text in batch["text"]:
-                votes, count = _wide_votes(distinct_shingles(text))
+                hashes = distinct_shingles(text)
+                votes, count = _wide_votes(hashes)
                 wide.append(_pack(2 * votes > count).tobytes())
-                margin = np.abs(2 * votes - count)[: FIELDS * FIELD_BITS]
-                margin = margin.reshape(FIELDS, FIELD_BITS)[:, :prefix]
-                order = np.argsort(margin, axis=1, kind="stable")
-                doubts.append(order[:, :FLIPS].astype(np.uint8).tobytes())
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": batch["fp"], "wide": wide, "doubts": doubts})
+                keys.append(prefix_of(hashes, frequent, similarity).view(np.int64))
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": batch["fp"], "wide": wide, "keys": keys})
 
-    texts = _texts(docs)
-    fps = stored(texts.mapInPandas(run, "doc_id long, fp long, wide binary, doubts binary"), "fps")
-    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.min(F.struct("wide", "doubts")).alias("s"))
+    fps = stored(texts.mapInPandas(run, "doc_id long, fp long, wide binary, keys array<long>"), "fps")
+    nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first(F.struct("wide", "keys")).alias("s"))
     nodes = stored(nodes.select("fp", "first", "s.*"), "nodes")
-
-    def keyed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            fields = np.frombuffer(b"".join(batch["wide"]), dtype="<u2").reshape(len(batch), -1)
-            doubts = np.frombuffer(b"".join(batch["doubts"]), dtype=np.uint8).reshape(-1, FIELDS, FLIPS)
-            for i in range(FIELDS):
-                for flips in itertools.product((0, 1), repeat=FLIPS):
-                    key = fields[:, i].astype(np.int64)
-                    for k, flip in enumerate(flips):
-                        key = key ^ (flip << doubts[:, i, k].astype(np.int64))
-                    block = (key & ((1 << prefix) - 1)) * FIELDS + i
-                    yield pd.DataFrame({"block": block, "node": batch["fp"], "fp": batch["wide"]})
-
-    rows = nodes.select("fp", "wide", "doubts").mapInPandas(keyed, "block long, node long, fp binary")
-    candidates = components(_linked(rows, len(WIDE_SEEDS), radius))
+    candidates = components(_linked(_shared_shingles(nodes), len(WIDE_SEEDS), radius))
     edges = _linked(_with_shingles(texts, nodes, candidates), len(WIDE_SEEDS), radius, similarity)
     return _named(fps.select("doc_id", "fp"), nodes.select("fp", "first"), components(edges))
 
 
+def prefix_of(hashes: np.ndarray, frequent: np.ndarray, similarity: float) -> np.ndarray:
+    """The first shingles of a set, frequent ones last: so many that any two sets of this
+    similarity share one of them. (They share similarity * n or more of n shingles.)"""
+    if len(frequent):
+        often = np.isin(hashes, frequent)
+        hashes = np.concatenate([hashes[~often], hashes[often]])
+    return hashes[: len(hashes) - int(np.ceil(similarity * len(hashes) - 1e-9)) + 1]
+
+
+def _frequent(texts: DataFrame, count: int) -> np.ndarray:
+    """Shingles of many texts of a sample. As blocks they would be large."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = np.concatenate([distinct_shingles(t) for t in batch["text"]])
+            shingles, n = np.unique(found, return_counts=True)
+            yield pd.DataFrame({"shingle": shingles.view(np.int64), "n": n})
+
+    some = texts.where(F.pmod("fp", F.lit(max(1, count // SAMPLE))) == 0).select("text")
+    counts = some.mapInPandas(run, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n"))
+    rows = counts.where(F.col("n") >= FREQUENT).orderBy(F.desc("n"), "shingle").limit(MOST_FREQUENT)
+    return np.array([r["shingle"] for r in rows.collect()], dtype=np.int64).view(np.uint64)
+
+
+def _shared_shingles(nodes: DataFrame) -> DataFrame:
+    """(block, node, fp): the nodes that share a shingle of their prefixes. Of shingles
+    that the same nodes have, one is taken."""
+    keys = nodes.select(F.col("fp").alias("node"), F.explode("keys").alias("block"))
+    sets = keys.groupBy("block").agg(
+        F.count("*").alias("n"),
+        F.min("node").alias("least"),
+        F.max("node").alias("most"),
+        F.bit_xor(F.xxhash64("node", F.lit(11))).alias("mix"),
+    )
+    blocks = sets.where("n > 1").groupBy("n", "least", "most", "mix").agg(F.min("block").alias("block"))
+    rows = keys.join(stored(blocks.select("block"), "blocks"), "block")
+    wide = nodes.select(F.col("fp").alias("node"), F.col("wide").alias("fp"))
+    return stored(rows.join(wide, "node").select("block", "node", "fp"), "shared")
+
+
 def _texts(docs: DataFrame) -> DataFrame:
     text = ascii_lower(text_of(docs))
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("fp"), text.alias("text"))

@@ -574,6 +574,26 @@ def test_near_links_are_the_pairs_at_the_bar(spark):
     assert [got[i]["component_id"] for i in (900, 901, 902, 910, 911)] == [900, 900, 902, 910, 911]
 
 
+def test_near_copies_are_found_in_a_table_of_any_size(spark, monkeypatch):
+    rows = list(_pairs_around_the_bar(np.random.default_rng(9), 400))
+    monkeypatch.setattr(simhash, "key_bits_for", lambda *_: 16)  # as for ten million documents
+    got = _as_dict(simhash.near_groups(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")))
+    sets = {i: s for i, _, s in rows}
+    near = [i for i in range(0, 800, 2) if len(sets[i] & sets[i + 1]) >= 0.8 * len(sets[i] | sets[i + 1])]
+    assert len(near) > 200 and not [i for i in near if got[i]["component_id"] != got[i + 1]["component_id"]]
+
+
+def test_prefixes_meet_in_any_order():
+    rng = np.random.default_rng(3)
+    for n in [1, 2, 4, 5, 6, 9, 10, *rng.integers(11, 300, 200)]:
+        one = np.unique(rng.integers(0, 1 << 63, int(n), dtype=np.uint64))
+        shared = rng.permutation(one)[: int(np.ceil(0.8 * len(one)))]
+        frequent = rng.permutation(one)[: int(rng.integers(0, len(one)))]
+        for two in (one, np.sort(shared)):
+            a, b = (simhash.prefix_of(x, frequent, 0.8) for x in (one, two))
+            assert len(np.intersect1d(a, b)), n
+
+
 def test_simhash_odd_rows(odd_docs, no_docs):
     rows = simhash.fingerprint_groups(simhash.fingerprints(odd_docs)).collect()
     assert len(rows) == odd_docs.count()
