@@ -127,6 +127,7 @@ def read_ids(manifest: DataFrame, folder: str) -> DataFrame:
                     )
                     at = to
 
-    parts = manifest.repartitionByRange("part")
+    # With a number, so that AQE does not merge these few rows into one task.
+    parts = manifest.repartitionByRange(max(1, manifest.count()), "part")
     rows = parts.mapInPandas(read, "doc_id long, start long, n_ids long, ids binary")
     return rows.withColumn("doc_id", F.nullif("doc_id", F.lit(int(NO_ID))))

@@ -281,6 +281,17 @@ def test_token_files_round_trip(spark, docs, texts):
     assert not [f for f in os.listdir(folder.removeprefix("file://")) if f.startswith(".") and "manifest" in f]
 
 
+def test_token_files_are_read_by_a_task_each(spark, docs):
+    folder = new_folder(spark, "ids")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        manifest = token_files.write_ids(docs, folder, queries.tokenizer("byte_bpe_50k.json"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    tasks = token_files.read_ids(manifest, folder).select(F.spark_partition_id().alias("p")).distinct().count()
+    assert tasks == manifest.where("n_docs > 0").count() > 1
+
+
 def test_token_files_odd_rows(spark, odd_docs, no_docs):
     path = queries.tokenizer("byte_bpe_50k.json")
     folder = new_folder(spark, "ids")
