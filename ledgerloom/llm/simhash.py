@@ -33,7 +33,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .shared import ascii_lower, components, stored, text_of
 
@@ -339,7 +339,7 @@ WIDE_WIDTH = 5
 WIDE_SEEDS = (SEED, 1, 2, 3)
 #: A shingle is frequent if this many of about SAMPLE texts have it; at most so many are
 #: looked for. That only sets the order of shingles, any order is complete.
-SAMPLE, FREQUENT, MOST_FREQUENT = 4096, 8, 50_000
+SAMPLE, FREQUENT, MOST_FREQUENT = 4096, 16, 2_000
 
 
 #: A candidate's bits may differ by so many standard deviations more than expected; and
@@ -433,7 +433,11 @@ def _shared_shingles(nodes: DataFrame) -> DataFrame:
 
 def _texts(docs: DataFrame) -> DataFrame:
     text = ascii_lower(text_of(docs))
-    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64(text).alias("fp"), text.alias("text"))
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), _text_key(docs).alias("fp"), text.alias("text"))
+
+
+def _text_key(docs: DataFrame) -> Column:
+    return F.xxhash64(ascii_lower(text_of(docs)))
 
 
 def _with_shingles(texts: DataFrame, nodes: DataFrame, roots: DataFrame) -> DataFrame:
@@ -452,7 +456,14 @@ def _with_shingles(texts: DataFrame, nodes: DataFrame, roots: DataFrame) -> Data
 
 def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     """The rows of ``docs`` without near copies: of each component the document with
-    the smallest doc_id stays. Rows without a doc_id stay too."""
-    groups = near_groups(docs, similarity)
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone"))
-    return docs.join(gone.distinct(), F.col("gone") == docs["doc_id"], "left_anti")
+    the smallest doc_id stays (and of its texts there, if it has several, one). Rows
+    without a doc_id stay too."""
+    groups = stored(near_groups(docs, similarity), "groups")
+    # A doc_id may have several texts: rows are told apart by both.
+    named = groups.where(F.col("doc_id") == F.col("component_id"))
+    texts = named.groupBy("component_id").agg(F.min("fp").alias("stays"))
+    gone = groups.where("doc_id IS NOT NULL").join(texts, "component_id")
+    gone = gone.where((F.col("doc_id") != F.col("component_id")) | (F.col("fp") != F.col("stays")))
+    gone = gone.select(F.col("doc_id").alias("gone"), F.col("fp").alias("gone_fp")).distinct()
+    same = (F.col("gone") == docs["doc_id"].cast("long")) & (F.col("gone_fp") == _text_key(docs))
+    return docs.join(gone, same, "left_anti")

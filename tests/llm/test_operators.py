@@ -585,6 +585,15 @@ def test_near_links_are_the_pairs_at_the_bar(spark):
     assert [got[i]["component_id"] for i in (900, 901, 902, 910, 911)] == [900, 900, 902, 910, 911]
 
 
+def test_near_copies_with_repeated_ids(spark):
+    first = " ".join(f"a{i}" for i in range(100))
+    rows = [(1, first), (2, first + " more"), (2, " ".join(f"b{i}" for i in range(100)))]
+    rows += [(3, " ".join(f"c{i}" for i in range(100))), (3, " ".join(f"c{i}" for i in range(99)))]
+    kept = simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {tuple(r) for r in kept} >= {rows[0], rows[2]} and rows[1] not in map(tuple, kept)
+    assert sorted(r["doc_id"] for r in kept) == [1, 2, 3]
+
+
 def test_near_copies_are_found_in_a_table_of_any_size(spark, monkeypatch):
     rows = list(_pairs_around_the_bar(np.random.default_rng(9), 400))
     monkeypatch.setattr(simhash, "key_bits_for", lambda *_: 16)  # as for ten million documents
