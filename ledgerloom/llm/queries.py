@@ -9,13 +9,16 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from . import (
     chunk_dedup,
     exact_dedup,
+    lexical_search,
     license_scan,
+    merkle,
     mixing,
     packing,
     secret_scan,
     simhash,
     token_files,
     toxicity,
+    vector_search,
     winnowing,
 )
 from .shared import new_folder
@@ -105,6 +108,23 @@ def _winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return winnowing.neighbours(_docs(spark, sf_dir))
 
 
+def _merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _docs(spark, sf_dir)
+    tampered = F.crc32(docs["doc_id"].cast("string")) % 5 == 0
+    return merkle.manifest(docs, tampered).drop("path")
+
+
+def _lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return lexical_search.search(_docs(spark, sf_dir), items).drop("number")
+
+
+def _vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    asked = rows["vec_id"] % 20 == 0
+    return vector_search.nearest(rows, rows["vec_id"], rows["embedding"], asked)
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_exact_dedup": _exact_dedup,
@@ -117,6 +137,9 @@ def queries() -> dict[str, Query]:
         "op8_toxicity": _toxicity,
         "op9_packing": _packing,
         "op10_winnowing": _winnowing,
+        "op11_merkle": _merkle,
+        "op12_lexical_search": _lexical_search,
+        "op13_vector_search": _vector_search,
     }
 
 
@@ -165,5 +188,128 @@ _MIX_SQL = r"""
 """
 
 
+# Trees are grown from the leaves up by recursion, one level a step; `crc` is the CRC-32
+# of the decimal doc_id, bit by bit.
+_MERKLE_SQL = r"""
+    WITH RECURSIVE f AS (
+      SELECT doc_id, source, text,
+             concat(coalesce(concat(strlen(CAST(doc_id AS VARCHAR)), ':', doc_id), '-'),
+                    coalesce(concat(strlen(source), ':', source), '-'),
+                    coalesce(concat(strlen(lang), ':', lang), '-'),
+                    coalesce(concat(strlen(CAST(n_chars AS VARCHAR)), ':', n_chars), '-')) AS head,
+             xor(list_reduce(
+               list_prepend(4294967295::BIGINT, list_transform(
+                 string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+               lambda c, b: list_reduce(
+                 list_prepend(xor(c, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+                 lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END)
+             ), 4294967295::BIGINT) AS crc
+      FROM documents),
+    h AS (
+      SELECT doc_id, source,
+             sha256(concat(head, CASE WHEN text IS NULL THEN '-' ELSE concat(strlen(text), ':', text) END)) AS leaf,
+             CASE WHEN crc % 5 = 0 THEN
+               sha256(concat(head, CASE WHEN text IS NULL THEN '-' ELSE concat(strlen(text), ':',
+                 translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) END)) END AS forged
+      FROM f),
+    d AS (
+      SELECT *, row_number() OVER () AS rid, dense_rank() OVER (ORDER BY source NULLS FIRST) AS tree,
+             row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos,
+             count(*) OVER (PARTITION BY source) AS n
+      FROM h),
+    up AS (
+      SELECT tree, 0 AS level, pos AS idx, leaf AS node, n FROM d
+      UNION ALL
+      SELECT tree, level + 1, idx // 16, sha256(string_agg(node, '' ORDER BY idx)), (n + 15) // 16
+      FROM up WHERE n > 1 GROUP BY tree, level, idx // 16, n),
+    sub AS (SELECT tree, node FROM up WHERE n = 1),
+    top AS (
+      SELECT 0 AS level, tree - 1 AS idx, node, (SELECT count(*) FROM sub) AS n FROM sub
+      UNION ALL
+      SELECT level + 1, idx // 16, sha256(string_agg(node, '' ORDER BY idx)), (n + 15) // 16
+      FROM top WHERE n > 1 GROUP BY level, idx // 16, n),
+    sides AS (
+      SELECT d.rid, u.level,
+             coalesce(string_agg(u.node, '' ORDER BY u.idx)
+               FILTER (u.idx < d.pos // CAST(pow(16, u.level) AS BIGINT)), '') AS lo,
+             coalesce(string_agg(u.node, '' ORDER BY u.idx)
+               FILTER (u.idx > d.pos // CAST(pow(16, u.level) AS BIGINT)), '') AS hi
+      FROM d JOIN up u ON u.tree = d.tree AND u.n > 1
+        AND u.idx // 16 = d.pos // CAST(pow(16, u.level + 1) AS BIGINT)
+      GROUP BY d.rid, u.level
+      UNION ALL
+      SELECT d.rid, 100 + u.level,
+             coalesce(string_agg(u.node, '' ORDER BY u.idx)
+               FILTER (u.idx < (d.tree - 1) // CAST(pow(16, u.level) AS BIGINT)), ''),
+             coalesce(string_agg(u.node, '' ORDER BY u.idx)
+               FILTER (u.idx > (d.tree - 1) // CAST(pow(16, u.level) AS BIGINT)), '')
+      FROM d JOIN top u ON u.n > 1 AND u.idx // 16 = (d.tree - 1) // CAST(pow(16, u.level + 1) AS BIGINT)
+      GROUP BY d.rid, u.level),
+    p AS (
+      SELECT rid, sha256(string_agg(concat(lo, hi), '' ORDER BY level)) AS proof,
+             list(concat(lo, '|', hi) ORDER BY level) AS path
+      FROM sides GROUP BY rid),
+    folded AS (
+      SELECT d.doc_id, d.leaf, sub.node AS subroot, (SELECT node FROM top WHERE n = 1) AS root,
+             coalesce(p.proof, sha256('')) AS proof_sha256,
+             list_reduce(list_prepend(coalesce(d.forged, d.leaf), coalesce(p.path, []::VARCHAR[])),
+               lambda node, s: sha256(concat(split_part(s, '|', 1), node, split_part(s, '|', 2))))
+               AS folded_root
+      FROM d JOIN sub ON sub.tree = d.tree LEFT JOIN p ON p.rid = d.rid)
+    SELECT *, folded_root = root AS verified FROM folded
+"""
+
+
+_LEXICAL_SQL = r"""
+    WITH words AS (
+      SELECT number, item_id, doc_id, unnest(regexp_extract_all(
+               translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+      FROM (SELECT row_number() OVER () AS number, NULL AS item_id, doc_id, text FROM documents
+            UNION ALL
+            SELECT -row_number() OVER (), item_id, NULL, text FROM benchmark)),
+    tf AS (SELECT number, doc_id, term, count(*) AS tf FROM words WHERE number > 0 GROUP BY ALL),
+    q AS (SELECT number AS query, item_id, term, count(*) AS times FROM words WHERE number < 0 GROUP BY ALL),
+    n AS (SELECT number, CAST(sum(tf) AS BIGINT) AS n FROM tf GROUP BY number),
+    c AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+    w AS (
+      SELECT term, CAST(floor(1000 * ln((2 * any_value(c.docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM tf, c GROUP BY term),
+    s AS (
+      SELECT query, item_id, number, doc_id, CAST(sum(times * w *
+               ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+      FROM q JOIN tf USING (term) JOIN w USING (term) JOIN n USING (number), c
+      GROUP BY query, item_id, number, doc_id),
+    r AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY query ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank
+      FROM s WHERE score > 0)
+    SELECT item_id, rank, doc_id, score FROM r WHERE rank <= 10
+"""
+
+
+_VECTOR_SQL = r"""
+    WITH v AS (
+      SELECT row_number() OVER () AS row, vec_id,
+             list_transform(embedding, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS BIGINT)) AS ints
+      FROM embeddings
+      WHERE embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (
+      SELECT q.row, q.vec_id AS query_id, c.vec_id,
+             CAST(list_sum(list_transform(list_zip(q.ints, c.ints), lambda p: p[1] * p[2])) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.row <> c.row WHERE q.vec_id % 20 = 0),
+    r AS (
+      SELECT *, CAST(row_number() OVER (PARTITION BY row ORDER BY score DESC, vec_id NULLS LAST) AS INTEGER) AS rank
+      FROM s)
+    SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_exact_dedup": _EXACT_SQL, "op3_mixing": _MIX_SQL}
+    return {
+        "op1_exact_dedup": _EXACT_SQL,
+        "op3_mixing": _MIX_SQL,
+        "op11_merkle": _MERKLE_SQL,
+        "op12_lexical_search": _LEXICAL_SQL,
+        "op13_vector_search": _VECTOR_SQL,
+    }
