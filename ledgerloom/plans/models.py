@@ -36,5 +36,24 @@ def whale_wallets(silver: DataFrame, threshold: int = WHALE_THRESHOLD) -> DataFr
     )
 
 
+def wallet_days(silver: DataFrame) -> DataFrame:
+    """Transactions of each wallet by chain and date: what `whale_wallets` adds up."""
+    return silver.groupBy("from_address", "chain_name", "partition_date").agg(
+        F.count("*").alias("tx_count")
+    )
+
+
+def whales_of_days(days: DataFrame, threshold: int = WHALE_THRESHOLD) -> DataFrame:
+    """`whale_wallets`, from its wallet days."""
+    return (
+        days.groupBy(F.col("from_address").alias("whale_wallet"))
+        .agg(
+            F.sum("tx_count").alias("total_tx_count"),
+            F.max("partition_date").alias("last_active_date"),
+        )
+        .where(F.col("total_tx_count") > threshold)
+    )
+
+
 def ranked(whales: DataFrame) -> DataFrame:
     return whales.orderBy(F.desc("total_tx_count"), "whale_wallet")

@@ -17,7 +17,7 @@ from ledgerloom.operators.sync_state import (
 )
 from ledgerloom.plans import compaction, models, publish
 from ledgerloom.fixed import GOLD_WHALES as GOLD, SILVER_TRANSACTIONS as SILVER
-from ledgerloom.plans.daily import run_daily
+from ledgerloom.plans.daily import run_daily, silver_table
 from ledgerloom.schemas import BLOCKS, LOGS, SYNC_STATE_SCHEMA, TRANSACTIONS
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.sources.lake import Lake, staged_files
@@ -280,7 +280,7 @@ def test_daily_run_and_gate(spark, tmp_path):
     lake = fill_bronze(spark, tmp_path, wallets(spark, {"five": 5, "six": 6}).coalesce(1))
     gold = run_daily(lake)
     assert [r.whale_wallet for r in gold.collect()] == ["six"]
-    silver = lake.read("silver", SILVER)
+    silver = silver_table(lake).read()
     assert silver.count() == 11
     assert silver.where("s3_file_path NOT LIKE 'bronze/transactions/%.parquet'").count() == 0
     one_day = silver.where("partition_date = DATE '2023-11-14'")
