@@ -20,11 +20,17 @@ from ledgerloom.functions.columns import is_bad_amount
 
 def encode(rows: DataFrame, entity: Entity) -> DataFrame:
     """Rows -> `key`, `value` messages; absent fields are written as null."""
-    body = F.struct(*[F.col(f"`{c}`") for c in entity.columns])
-    return rows.select(
-        F.col(entity.message_key).alias("key"),
+    return rows.select(*message(entity))
+
+
+def message(entity: Entity, row: Column | None = None) -> list[Column]:
+    """`key` and `value` of a row, which may be a struct in a column."""
+    field = (lambda c: F.col(f"`{c}`")) if row is None else row.getField
+    body = F.struct(*[field(c).alias(c) for c in entity.columns])
+    return [
+        field(entity.message_key).alias("key"),
         F.to_json(body, {"ignoreNullFields": "false"}).alias("value"),
-    )
+    ]
 
 
 def decode(messages: DataFrame, entity: Entity, *, check_amount: bool = False) -> DataFrame:

@@ -11,14 +11,15 @@ from collections.abc import Sequence
 from pyspark.sql import SparkSession, functions as F
 
 from ledgerloom import fixed
+from ledgerloom.operators.bundle import BUNDLE_SCHEMA
 from ledgerloom.operators.sync_state import SyncStateStore
-from ledgerloom.plans import compaction, daily, models, reports
-from ledgerloom.plans.publish import publish_pending
+from ledgerloom.plans import compaction, daily, models, reports, upkeep
 from ledgerloom.schemas import ENTITIES
 from ledgerloom.session import build_session
 from ledgerloom.sources.feeds import Feed
-from ledgerloom.sources.lake import Lake
+from ledgerloom.sources.lake import Lake, staged_files
 from ledgerloom.streaming.bronze import await_all, await_any, start_bronze
+from ledgerloom.streaming.publish import publish_bundles, start_publish_stream
 from ledgerloom.streaming.speed import SpeedStore, start_speed
 
 
@@ -68,13 +69,24 @@ def compact(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Send what the bronze tables have above the watermarks to the topics."""
+    """Send bronze to the topics as it grows, or the bundles of a folder."""
     lake = Lake(spark, args.root, args.table_format)
     store = SyncStateStore(spark, args.state)
     store.init(args.chains)
-    chosen = F.col("chainName").isin(args.chains)
-    tables = {t: lake.bronze(t).where(chosen).drop("dt") for t in ENTITIES}
-    publish_pending(tables, _feed(args), store)
+    if args.bundles:
+        bundles = staged_files(spark, args.bundles, BUNDLE_SCHEMA)
+        wanted = F.col("block.chainName").isin(*args.chains)
+        publish_bundles(bundles.where(wanted), _feed(args), store)
+        return
+    query = start_publish_stream(lake, _feed(args), store, args.chains, _trigger(args))
+    _await(spark, [query], args)
+
+
+def compact_bronze(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Copy the closed dates of bronze into few files."""
+    lake = Lake(spark, args.root, args.table_format)
+    for table in args.tables:
+        upkeep.compact_bronze(lake, table, args.before, args.settle_seconds)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -108,7 +120,11 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--chains", nargs="+", default=list(fixed.ACCEPTED_CHAINS))
     job.add_argument("--threshold", type=int, default=fixed.WHALE_THRESHOLD)
     add("compact", compact, tables=True)
-    job = add("publish", publish, feed=True)
+    job = add("compact-bronze", compact_bronze, tables=True)
+    job.add_argument("--before", required=True, help="first date (yyyy-MM-dd) that is not closed")
+    job.add_argument("--settle-seconds", type=int, default=upkeep.SETTLE_SECONDS)
+    job = add("publish", publish, feed=True, stream=True)
+    job.add_argument("--bundles", help="folder of Parquet bundles to send instead of bronze")
     job.add_argument("--state", required=True, help="directory of the watermark table")
     job.add_argument("--chains", nargs="+", default=list(fixed.PUBLISHED_CHAINS))
     return top

@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.functions.codec import encode
-from ledgerloom.schemas import Entity
+from ledgerloom.schemas import ENTITIES, Entity
 
 # A stream starts at the earliest message, so the first batches may face a long
 # backlog: the limits per trigger cut it into batches that commit one by one. A
@@ -57,6 +57,20 @@ class Feed:
             # Lines carry no key; no consumer reads it.
             messages.select("value").write.mode("append").text(self._folder(entity))
 
+    def send(self, messages: DataFrame) -> None:
+        """Write (topic, key, value) messages, each to its topic, in one pass for Kafka."""
+        if self.kind == "kafka":
+            (
+                messages.write.format("kafka")
+                .option("kafka.bootstrap.servers", self.location)
+                .options(**self.options)
+                .save()
+            )
+            return
+        for entity in ENTITIES.values():
+            mine = messages.where(F.col("topic") == entity.topic)
+            mine.select("value").write.mode("append").text(self._folder(entity))
+
     def _load(self, reader, entity: Entity) -> DataFrame:
         if self.kind == "kafka":
             loaded = (

@@ -38,7 +38,7 @@ def test_jobs_end_to_end(spark, tmp_path, capfd):
 
     out = ["--feed", "files", "--feed-location", str(tmp_path / "out")]
     for _ in range(2):
-        main(["publish", "--root", root, *out, "--state", str(tmp_path / "state")], spark)
+        main(["publish", "--root", root, *out, "--once", "--state", str(tmp_path / "state")], spark)
     sent = Feed("files", str(tmp_path / "out"))
     assert {t: sent.batch(spark, e).count() for t, e in ENTITIES.items()} == {
         "blocks": 1,

@@ -15,7 +15,7 @@ from ledgerloom.operators.sync_state import (
     init_tasks,
     pending,
 )
-from ledgerloom.plans import compaction, models, publish
+from ledgerloom.plans import compaction, models
 from ledgerloom.fixed import GOLD_WHALES as GOLD, SILVER_TRANSACTIONS as SILVER
 from ledgerloom.plans.daily import run_daily, silver_table
 from ledgerloom.schemas import BLOCKS, LOGS, SYNC_STATE_SCHEMA, TRANSACTIONS
@@ -169,34 +169,6 @@ def bundle_rows(numbers):
     return blocks, txs, logs
 
 
-def test_publish_moves_the_watermark_last(spark, tmp_path, monkeypatch):
-    numbers = [9_999, 10_001, 10_002, 10_004]
-    blocks, txs, logs = bundle_rows(numbers)
-    tables = {
-        "blocks": make(spark, BLOCKS, blocks),
-        "transactions": make(spark, TRANSACTIONS, txs),
-        "logs": make(spark, LOGS, logs),
-    }
-    store = SyncStateStore(spark, str(tmp_path / "state"))
-    feed = Feed("files", str(tmp_path / "feed"))
-
-    def fail(self, rows, entity):
-        raise OSError("broker is away")
-
-    with monkeypatch.context() as broken:
-        broken.setattr(Feed, "publish", fail)
-        with pytest.raises(OSError):
-            publish.publish_pending(tables, feed, store)
-    assert store.version() == 0
-
-    publish.publish_pending(tables, feed, store)
-    assert levels(store.read()) == {"bsc": 10_004}
-    assert feed.batch(spark, BLOCKS).count() == 3
-    assert feed.batch(spark, TRANSACTIONS).count() == sum(n % 3 for n in numbers[1:])
-    publish.publish_pending(tables, feed, store)
-    assert feed.batch(spark, BLOCKS).count() == 3, "nothing new"
-
-
 def test_split_bundles(spark):
     blocks, txs, logs = bundle_rows(range(1, 7))
 
