@@ -200,8 +200,18 @@ def _watermark_slice(spark: SparkSession, sf: str) -> DataFrame:
 # --- data tests -------------------------------------------------------------
 
 
+def _silver_with_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Silver in which every 5th block lacks amounts and every 7th senders."""
+    return _silver(spark, sf).withColumns(
+        {
+            "tx_value": F.when(F.col("block_number") % 5 != 0, F.col("tx_value")),
+            "from_address": F.when(F.col("block_number") % 7 != 0, F.col("from_address")),
+        }
+    )
+
+
 def _dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.not_null(_silver(spark, sf), ["tx_value", "from_address"])
+    return quality.not_null(_silver_with_nulls(spark, sf), ["tx_value", "from_address"])
 
 
 def _dq_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
@@ -209,7 +219,7 @@ def _dq_accepted_values(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _dq_table_tests(spark: SparkSession, sf: str) -> DataFrame:
-    return quality.failure_counts(_silver(spark, sf), silver_tests(["eth", "bsc", "polygon"]))
+    return quality.failure_counts(_silver_with_nulls(spark, sf), silver_tests(["eth", "bsc", "polygon"]))
 
 
 def queries() -> dict[str, Query]:
@@ -253,6 +263,7 @@ def core_queries() -> dict[str, Query]:
         "explode_bundle": _bundle(bundle.transaction_feed),
         "explode_bundle_blocks": _bundle(bundle.block_feed),
         "explode_bundle_logs": _bundle(bundle.log_feed),
+        "bundle_messages": _bundle(bundle.bundle_messages),
         "latest_transactions": _on(reports.latest_transactions, "transactions"),
         "daily_tx_counts": _on(reports.daily_tx_counts, "transactions"),
         "chain_tip": _on(reports.chain_tip, "blocks"),
@@ -278,12 +289,12 @@ def core_queries() -> dict[str, Query]:
 # --- oracle -----------------------------------------------------------------
 
 
-def _encode_sql(table: str) -> str:
+def _encode_sql(table: str, source: str | None = None) -> str:
     entity = ENTITIES[table]
     fields = ", ".join(f'"{c}" := "{c}"' for c in entity.columns)
     return (
         f'SELECT "{entity.message_key}" AS key, '
-        f"CAST(to_json(struct_pack({fields})) AS VARCHAR) AS value FROM {table}"
+        f"CAST(to_json(struct_pack({fields})) AS VARCHAR) AS value FROM {source or table}"
     )
 
 
@@ -319,6 +330,12 @@ _SILVER_SQL = """
     FROM transactions WHERE "to" IS NOT NULL
 """
 
+_SILVER_NULLS_SQL = f"""
+    SELECT * REPLACE (CASE WHEN block_number % 5 <> 0 THEN tx_value END AS tx_value,
+                      CASE WHEN block_number % 7 <> 0 THEN from_address END AS from_address)
+    FROM ({_SILVER_SQL})
+"""
+
 _BLOCK_JOIN_SQL = """
     FROM blocks b LEFT JOIN transactions t
       ON b."blockNumber" = t."blockNumber" AND b."chainName" = t."chainName"
@@ -327,9 +344,33 @@ _BLOCK_JOIN_SQL = """
 _BUNDLE_N = 'CAST(right(miner, 6) AS BIGINT) % 4'
 
 
+_BUNDLE_TXS_SQL = f"""
+    SELECT "chainName", concat("blockHash", '-', i) AS "txHash", "blockNumber",
+           "blockHash", miner AS "from", "blockHash" AS "to",
+           concat(i, '0000000') AS value, timestamp, "ingestionTimestamp"
+    FROM (SELECT *, unnest(range(1, {_BUNDLE_N} + 1)) AS i FROM blocks)
+"""
+_BUNDLE_LOGS_SQL = f"""
+    SELECT "chainName", j - 1 AS "logIndex", "blockNumber", "blockHash",
+           concat("blockHash", '-', (j + 1) // 2) AS "txHash", miner AS address,
+           'transfer' AS topic0, CAST(NULL AS VARCHAR) AS topic1,
+           CAST(NULL AS VARCHAR) AS topic2, CAST(NULL AS VARCHAR) AS topic3,
+           CAST(j AS VARCHAR) AS data, timestamp, "ingestionTimestamp"
+    FROM (SELECT *, unnest(range(1, 2 * ({_BUNDLE_N}) + 1)) AS j FROM blocks)
+"""
+
+
+def _bundle_messages_sql() -> str:
+    parts = {"blocks": "blocks", "transactions": f"({_BUNDLE_TXS_SQL})", "logs": f"({_BUNDLE_LOGS_SQL})"}
+    return " UNION ALL ".join(
+        f"SELECT '{ENTITIES[t].topic}' AS topic, * FROM ({_encode_sql(t, source)})" for t, source in parts.items()
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     state = fixtures.SYNC_STATE_SQL
     on_entities = {
+        "bundle_messages": _bundle_messages_sql(),
         "json_encode": _encode_sql("transactions"),
         "json_encode_blocks": _encode_sql("blocks"),
         "json_encode_logs": _encode_sql("logs"),
@@ -359,21 +400,9 @@ def oracle_sql() -> dict[str, str]:
             SELECT CAST(abs("blockNumber") % 2 AS INTEGER) AS shard, count(*) AS n_rows
             FROM blocks GROUP BY 1
         """,
-        "explode_bundle": f"""
-            SELECT "chainName", concat("blockHash", '-', i) AS "txHash", "blockNumber",
-                   "blockHash", miner AS "from", "blockHash" AS "to",
-                   concat(i, '0000000') AS value, timestamp, "ingestionTimestamp"
-            FROM (SELECT *, unnest(range(1, {_BUNDLE_N} + 1)) AS i FROM blocks)
-        """,
+        "explode_bundle": _BUNDLE_TXS_SQL,
         "explode_bundle_blocks": "SELECT * EXCLUDE (dt) FROM blocks",
-        "explode_bundle_logs": f"""
-            SELECT "chainName", j - 1 AS "logIndex", "blockNumber", "blockHash",
-                   concat("blockHash", '-', (j + 1) // 2) AS "txHash", miner AS address,
-                   'transfer' AS topic0, CAST(NULL AS VARCHAR) AS topic1,
-                   CAST(NULL AS VARCHAR) AS topic2, CAST(NULL AS VARCHAR) AS topic3,
-                   CAST(j AS VARCHAR) AS data, timestamp, "ingestionTimestamp"
-            FROM (SELECT *, unnest(range(1, 2 * ({_BUNDLE_N}) + 1)) AS j FROM blocks)
-        """,
+        "explode_bundle_logs": _BUNDLE_LOGS_SQL,
         "latest_transactions": """
             SELECT "chainName", "blockNumber", "txHash", "from", "to", value
             FROM transactions ORDER BY timestamp DESC, "txHash" LIMIT 5
@@ -430,7 +459,7 @@ def oracle_sql() -> dict[str, str]:
         "dq_not_null": f"""
             SELECT count(*) FILTER (WHERE tx_value IS NULL) AS tx_value,
                    count(*) FILTER (WHERE from_address IS NULL) AS from_address
-            FROM ({_SILVER_SQL})
+            FROM ({_SILVER_NULLS_SQL})
         """,
         "dq_accepted_values": f"""
             SELECT chain_name, count(*) AS n_records FROM ({_SILVER_SQL})
@@ -440,7 +469,7 @@ def oracle_sql() -> dict[str, str]:
             SELECT count(*) FILTER (WHERE tx_value IS NULL) AS not_null_tx_value,
                    count(*) FILTER (WHERE chain_name NOT IN ('eth', 'bsc', 'polygon'))
                      AS accepted_values_chain_name
-            FROM ({_SILVER_SQL})
+            FROM ({_SILVER_NULLS_SQL})
         """,
     }
     on_tables = {

@@ -61,11 +61,14 @@ def run_daily(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def compact(spark: SparkSession, args: argparse.Namespace) -> None:
-    """Rewrite the speed store as sorted tables without repeats."""
+    """Merge the speed store's batches into sorted tables without repeats."""
     lake = Lake(spark, args.root, args.table_format)
     store = SpeedStore(f"{args.root}/speed", table_format=args.table_format)
     for table in args.tables:
-        compaction.compact(store.read(spark, table), ENTITIES[table], lake)
+        if args.table_format == "parquet":
+            compaction.compact_store(store, lake, ENTITIES[table], args.blocks_per_range)
+        else:
+            compaction.compact(store.read(spark, table), ENTITIES[table], lake)
 
 
 def publish(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -119,7 +122,8 @@ def parser() -> argparse.ArgumentParser:
     job = add("daily", run_daily)
     job.add_argument("--chains", nargs="+", default=list(fixed.ACCEPTED_CHAINS))
     job.add_argument("--threshold", type=int, default=fixed.WHALE_THRESHOLD)
-    add("compact", compact, tables=True)
+    job = add("compact", compact, tables=True)
+    job.add_argument("--blocks-per-range", type=int, default=compaction.BLOCKS_PER_RANGE)
     job = add("compact-bronze", compact_bronze, tables=True)
     job.add_argument("--before", required=True, help="first date (yyyy-MM-dd) that is not closed")
     job.add_argument("--settle-seconds", type=int, default=upkeep.SETTLE_SECONDS)

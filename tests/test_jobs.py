@@ -5,6 +5,7 @@ import json
 import pytest
 
 from ledgerloom.jobs import main, parser
+from ledgerloom.plans.compaction import compacted_table
 from ledgerloom.schemas import ENTITIES
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.sources.lake import Lake
@@ -33,7 +34,7 @@ def test_jobs_end_to_end(spark, tmp_path, capfd):
     assert "10001|m    |6" in shown.replace(" |m", "|m") or "|10001      |m    |6       |" in shown
     assert "whale" in shown and "2023-11-14" in shown
 
-    assert Lake(spark, root).read("compacted", "transactions").count() == 6
+    assert compacted_table(Lake(spark, root), ENTITIES["transactions"]).read().count() == 6
     assert Lake(spark, root).read("gold", "mart_smart_money").count() == 1
 
     out = ["--feed", "files", "--feed-location", str(tmp_path / "out")]

@@ -4,18 +4,23 @@ import json
 import os
 from pathlib import Path
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+import __spark_entry__
+import fixtures
+from ledgerloom.functions.codec import encode
 from ledgerloom.operators.quality import QualityError
-from ledgerloom.plans import daily, models
+from ledgerloom.plans import compaction, daily, models
 from ledgerloom.plans.upkeep import compact_bronze
-from ledgerloom.schemas import TRANSACTIONS
+from ledgerloom.schemas import BLOCKS, TRANSACTIONS
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.sources.lake import Lake
 from ledgerloom.sources.partitioned import PartitionedTable
 from ledgerloom.streaming.bronze import await_all, start_bronze
+from ledgerloom.streaming.speed import SpeedStore, speed_rows
 
 ONCE = {"availableNow": True}
 DAY = 86_400
@@ -286,3 +291,121 @@ def test_looking_for_changes_reads_no_column(world):
     files = world.lake.bronze_files("transactions")
     counted = files.groupBy("chainName").agg(F.max("modified"))
     assert "ReadSchema: struct<>" in counted._jdf.queryExecution().executedPlan().toString()
+
+
+# --- the speed store --------------------------------------------------------
+
+
+class Speed:
+    def __init__(self, spark, folder):
+        self.spark, self.n = spark, -1
+        self.lake = Lake(spark, str(folder / "lake"))
+        self.store = SpeedStore(str(folder / "speed"))
+
+    def batch(self, *rows, run="r1", batch=None):
+        self.n = self.n + 1 if batch is None else self.n
+        lines = [(row if isinstance(row, str) else json.dumps(row),) for row in rows]
+        messages = self.spark.createDataFrame(lines, "value STRING")
+        decoded = speed_rows(messages, TRANSACTIONS, 2)
+        self.store.write_batch(decoded, TRANSACTIONS, run, self.n if batch is None else batch)
+
+    def compact(self):
+        return compaction.compact_store(self.store, self.lake, TRANSACTIONS, 100)
+
+    def rows(self):
+        found = compaction.read_store(self.store, self.lake, "transactions")
+        return sorted((r["tx_hash"], r["value"], r["shard"]) for r in found.collect())
+
+    def batches(self):
+        return sorted(p.name for p in Path(self.store.path(TRANSACTIONS)).glob("*/*") if any(p.glob("status=ok")))
+
+
+@pytest.fixture
+def speed(spark, tmp_path):
+    return Speed(spark, tmp_path)
+
+
+def test_batches_are_taken_in_and_retired(speed):
+    speed.batch(*[tx(n) for n in range(4)], tx(500), "garbage")
+    speed.batch(tx(4), tx(5))
+    before = speed.rows()
+    assert len(before) == 7
+    assert speed.compact() == 1
+    assert speed.rows() == before and speed.batches() == ["batch_id=0", "batch_id=1"]
+
+    # Batches go a run later; what was rejected stays. A batch that is replayed after it
+    # was taken in adds nothing.
+    speed.batch(tx(6), tx(1, value="9", ingestionTimestamp=99))
+    untaken = speed.rows()
+    assert len(untaken) == 9 and speed.compact() == 2
+    merged = speed.rows()
+    assert len(merged) == 8 and ("t1", "9", 0) in merged and speed.batches() == ["batch_id=2"]
+    assert speed.store.quarantine(speed.spark, "transactions").count() == 1
+    speed.batch(tx(4), tx(5), batch=1)
+    assert speed.rows() == merged
+    assert speed.compact() == 0 and speed.rows() == merged and speed.batches() == []
+
+    # A second run of the stream counts from 0 again.
+    speed.batch(tx(7), run="r2", batch=0)
+    assert len(speed.rows()) == 9 and speed.compact() == 3 and len(speed.rows()) == 9
+
+
+def test_a_run_meets_only_the_ranges_it_touches(speed):
+    speed.batch(*[tx(n) for n in range(0, 1000, 10)])
+    speed.compact()
+    parts = Path(compaction.compacted_table(speed.lake, TRANSACTIONS).parts)
+    first = {str(p) for p in parts.rglob("*.parquet")}
+    assert len({p.split("block_range=")[1].split("/")[0] for p in first}) == 10
+    speed.batch(tx(995), tx(1001))
+    speed.compact()
+    second = {str(p) for p in parts.rglob("*.parquet")} - first
+    assert {p.split("block_range=")[1].split("/")[0] for p in second} == {"109", "110"}
+    assert compaction.compacted_table(speed.lake, TRANSACTIONS).read().count() == 102
+
+
+@pytest.mark.parametrize("step", ["commit", "vacuum"])
+def test_a_killed_compaction_loses_and_doubles_nothing(speed, monkeypatch, step):
+    speed.batch(tx(1), tx(2))
+    speed.compact()
+    speed.batch(tx(3), tx(2, value="5", ingestionTimestamp=50))
+
+    def killed(*_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(PartitionedTable, step, killed)
+        with pytest.raises(KeyboardInterrupt):
+            speed.compact()
+    kept = [("t1", "1", 0), ("t2", "5", 1), ("t3", "3", 0)]
+    # Not merged yet, both copies of t2 are there, as in the store itself.
+    assert speed.rows() == (sorted([*kept, ("t2", "2", 1)]) if step == "commit" else kept)
+    speed.compact()
+    assert speed.rows() == kept
+
+
+def test_a_batch_that_is_being_written_waits(speed):
+    speed.batch(tx(1))
+    speed.batch(tx(2))
+    (Path(speed.store.path(TRANSACTIONS)) / "run_id=r1/batch_id=1/_SUCCESS").unlink()
+    speed.compact()
+    table = compaction.compacted_table(speed.lake, TRANSACTIONS)
+    assert table.read().count() == 1 and len(speed.rows()) == 2
+
+
+def test_shard_counts_of_a_store(spark, tmp_path):
+    """The registered query's SQL, against a store that was written, then compacted."""
+    sf = "/root/testdata/sf0.01"
+    store, lake = SpeedStore(str(tmp_path / "speed")), Lake(spark, str(tmp_path / "lake"))
+    messages = encode(fixtures.entity(spark, sf, "blocks"), BLOCKS)
+    halves = messages.withColumn("half", F.crc32("key") % 2)
+    for n in range(2):
+        rows = speed_rows(halves.where(F.col("half") == n).drop("half"), BLOCKS, 2)
+        store.write_batch(rows, BLOCKS, "r", n)
+    con = duckdb.connect()
+    for name in ("orders", "lineitem", "events"):
+        con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{sf}/{name}.parquet'")
+    expected = sorted(con.execute(__spark_entry__.oracle_sql()["shard_counts"]).fetchall())
+    for _ in range(3):
+        counts = compaction.read_store(store, lake, "blocks").groupBy("shard").count()
+        assert sorted(map(tuple, counts.collect())) == expected
+        compaction.compact_store(store, lake, BLOCKS)
