@@ -60,7 +60,7 @@ BAD = {
     json.dumps(tx(10, chainName=None)): "missing_key",
     json.dumps(tx(11, blockNumber=...)): "missing_key",
     json.dumps(tx(12, chainName=" ")): "missing_key",
-    json.dumps(tx(14)).replace('"value": ', '"value": 123456789012345678.25, "v": '): "bad_amount",
+    json.dumps(tx(14)).replace('"value": ', '"value": 123456789012345678.25e3, "v": '): "bad_amount",
     "null": "undecodable",
     "": "undecodable",
 }
@@ -323,3 +323,43 @@ def test_dedup_keeps_the_latest_ingested(spark):
     assert sorted((r.chain, r.v) for r in kept.collect()) == [("a", "new"), ("b", "x")]
     plan = kept._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan, "copies must go before the shuffle"
+
+
+#: The number in the message, and the amount it must become; None if it cannot be told.
+NUMBERS = {
+    "12345678901234567.5": "12345678901234567.5",
+    "12345678901234567890123456.5": "12345678901234567890123456.5",
+    "0.0000000000000001": "0.0000000000000001",
+    "12345.678901234567": "12345.678901234567",
+    "1e25": "10000000000000000000000000",
+    "1.5E-3": "0.0015",
+    '"1.2345678901234567e30"': "1234567890123456700000000000000",
+    "1.2345678901234567e30": None,
+    "1.00000000000000000001e25": None,
+    "1234567890123456789012345678901234567890.5": None,
+    "1E400": None,
+    "NaN": None,
+}
+
+
+def test_amounts_sent_as_numbers(spark):
+    """Exact or refused, whatever else the message holds under the same name."""
+    head = '{"chainName":"bsc","txHash":"%s","blockNumber":1,'
+    lines, expected = [], {}
+
+    def case(body, amount):
+        name = f"t{len(lines)}"
+        lines.append((head % name + body + "}",))
+        expected[name] = amount
+
+    for number, amount in NUMBERS.items():
+        case(f'"value":{number}', amount)
+        case(f'"data":{{"value":{number}}},"value":"7"', "7")
+    case('"\\u0076alue":12345678901234567.5', "12345678901234567.5")
+    case('"\\u0076alue":1e25', None)
+    case('"extra":{"value":1234567890123456.5e3},"value":1e25', "10000000000000000000000000")
+    case('"value":1.5,"value":2.5', None)
+    rows = speed_rows(spark.createDataFrame(lines, "value STRING"), TRANSACTIONS, 2)
+    found = {r["tx_hash"]: r["value"] if r["status"] == "ok" else None for r in rows.collect()}
+    assert found == expected
+    assert {r["status"] for r in rows.collect()} == {"ok", "bad_amount"}
