@@ -24,7 +24,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from .shared import stored, text_of
+from .shared import received_ids, sent_ids, stored, text_of
 
 #: A chunk ends after a byte with probability 2^-CUT_BITS, not before SHORTEST bytes.
 CUT_BITS, SHORTEST, LONGEST = 5, 12, 256
@@ -100,7 +100,7 @@ def chunk(docs: DataFrame) -> DataFrame:
             yield pd.DataFrame(
                 {
                     "row_id": batch["row_id"],
-                    "doc_id": batch["doc_id"].astype("Int64"),
+                    "doc_id": received_ids(batch),
                     "digests": [p[0] for p in parts],
                     "starts": [p[1] for p in parts],
                     "ends": [p[2] for p in parts],
@@ -110,7 +110,7 @@ def chunk(docs: DataFrame) -> DataFrame:
 
     rows = docs.select(
         F.monotonically_increasing_id().alias("row_id"),
-        docs["doc_id"].cast("long").alias("doc_id"),
+        *sent_ids(docs["doc_id"]),
         text_of(docs).alias("text"),
     )
     return stored(rows.mapInPandas(run, SCHEMA), "chunks")

@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from .shared import ascii_lower, text_of
+from .shared import ascii_lower, received_ids, sent_ids, text_of
 
 # What a word is, and the base phrases with their labels.
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -186,8 +186,8 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             out = pd.DataFrame([scan(t) for t in batch["text"]], columns=names)
-            out.insert(0, "doc_id", batch["doc_id"].to_numpy())
+            out.insert(0, "doc_id", received_ids(batch))
             yield out.astype({"first_word": "Int64", "last_word": "Int64"})
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), ascii_lower(text_of(docs)).alias("text"))
+    rows = docs.select(*sent_ids(docs["doc_id"]), ascii_lower(text_of(docs)).alias("text"))
     return rows.mapInPandas(run, SCHEMA.replace(", spans", ", spans"))

@@ -150,9 +150,10 @@ def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH, end_id: int = EN
                 number += 1
             packer.done.clear()
             if rows:
-                frame = pd.DataFrame(rows, columns=[c.split()[0] for c in SCHEMA.split(", ")])
+                columns = dict(zip((c.split()[0] for c in SCHEMA.split(", ")), zip(*rows)))
                 rows = []
-                yield frame.astype({"doc_id": "Int64"})
+                # Not by way of doubles, which a null among the ids would bring.
+                yield pd.DataFrame(columns | {"doc_id": pd.array(columns["doc_id"], dtype="Int64")})
 
         for batch in batches:
             names = [None if none else n for n, none in zip(batch["doc_id"].tolist(), batch["none"].tolist())]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 MAX_ROUNDS = 100
@@ -36,6 +37,18 @@ def text_of(df: DataFrame, column: str = "text") -> Column:
     return F.coalesce(df[column].cast("string"), F.lit(""))
 
 
+def sent_ids(doc_id: Column) -> list[Column]:
+    """doc_id for a pandas batch, where a null would turn all ids into doubles: null as
+    0, and a flag."""
+    number = doc_id.cast("long")
+    return [F.coalesce(number, F.lit(0)).alias("doc_id"), number.isNull().alias("no_id")]
+
+
+def received_ids(batch: pd.DataFrame) -> pd.Series:
+    """The doc_ids that `sent_ids` sent, each exact."""
+    return batch["doc_id"].astype("Int64").mask(batch["no_id"].astype(bool))
+
+
 def ascii_lower(text: Column) -> Column:
     """Lower-cases A-Z and nothing else."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -35,7 +35,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .shared import ascii_lower, components, stored, text_of
+from .shared import ascii_lower, components, received_ids, sent_ids, stored, text_of
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 SEED = 42
@@ -103,9 +103,9 @@ def fingerprints(docs: DataFrame, width: int = 3) -> DataFrame:
             for i, text in enumerate(batch["text"]):
                 votes, count = bit_votes(shingle_hashes(text, width), (SEED,))
                 fps[i] = _pack(2 * votes > count)[0]
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": fps.view(np.int64)})
+            yield pd.DataFrame({"doc_id": received_ids(batch), "fp": fps.view(np.int64)})
 
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), ascii_lower(text_of(docs)).alias("text"))
+    rows = docs.select(*sent_ids(docs["doc_id"]), ascii_lower(text_of(docs)).alias("text"))
     return rows.mapInPandas(run, "doc_id long, fp long")
 
 
@@ -381,9 +381,10 @@ def near_groups(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
                 votes, count = _wide_votes(hashes)
                 wide.append(_pack(2 * votes > count).tobytes())
                 keys.append(prefix_of(hashes, frequent, similarity).view(np.int64))
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "fp": batch["fp"], "wide": wide, "keys": keys})
+            yield pd.DataFrame({"doc_id": received_ids(batch), "fp": batch["fp"], "wide": wide, "keys": keys})
 
-    fps = stored(texts.mapInPandas(run, "doc_id long, fp long, wide binary, keys array<long>"), "fps")
+    sent = texts.select(*sent_ids(F.col("doc_id")), "fp", "text")
+    fps = stored(sent.mapInPandas(run, "doc_id long, fp long, wide binary, keys array<long>"), "fps")
     nodes = fps.groupBy("fp").agg(F.min("doc_id").alias("first"), F.first(F.struct("wide", "keys")).alias("s"))
     nodes = stored(nodes.select("fp", "first", "s.*"), "nodes")
     candidates = components(_linked(_shared_shingles(nodes), len(WIDE_SEEDS), radius))
@@ -465,5 +466,10 @@ def one_of_each(docs: DataFrame, similarity: float = 0.8) -> DataFrame:
     gone = groups.where("doc_id IS NOT NULL").join(texts, "component_id")
     gone = gone.where((F.col("doc_id") != F.col("component_id")) | (F.col("fp") != F.col("stays")))
     gone = gone.select(F.col("doc_id").alias("gone"), F.col("fp").alias("gone_fp")).distinct()
-    same = (F.col("gone") == docs["doc_id"].cast("long")) & (F.col("gone_fp") == _text_key(docs))
-    return docs.join(gone, same, "left_anti")
+    rows = docs.select(
+        F.struct(*[docs[c] for c in docs.columns]).alias("row"),
+        docs["doc_id"].cast("long").alias("id"),
+        _text_key(docs).alias("key"),
+    )
+    same = (F.col("gone") == F.col("id")) & (F.col("gone_fp") == F.col("key"))
+    return rows.join(gone, same, "left_anti").select("row.*")

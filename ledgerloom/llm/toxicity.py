@@ -8,13 +8,13 @@
    other beyond the label (residual correlation); those share their weight. Of the labels
    only the class balance is used.
 3. A linear classifier (logistic regression on hashed words and word beginnings) is
-   trained on the label model's posteriors over the training rows (where the label is
-   one more vote), at most about
-   ``TRAIN_ROWS`` of them, chosen by a hash of the doc_id. Its margins are calibrated on
-   the training labels.
+   trained on the label model's posteriors over training rows, at most about
+   ``TRAIN_ROWS`` with a label (one more vote) and ``UNLABELLED_ROWS`` without (the
+   voters' posterior alone), chosen by a hash of the doc_id. Its margins are calibrated
+   on the training labels.
 
-Training rows are labelled rows whose crc32(doc_id as text) mod 3 is not 1. A score
-depends on the text alone.
+Training rows are rows whose crc32(doc_id as text) mod 3 is not 1. A score depends on the
+text alone.
 
 Null texts count as empty. A doc_id that has several labels is toxic if one says so;
 rows without doc_id have no label. With no usable labels (an empty table, or one class)
@@ -42,8 +42,10 @@ LEXICON = (
 ).split()
 PHRASES = ("kill yourself", "shut up", "go to hell", "i hate you", "drop dead", "piece of shit")
 
-#: Bound on the rows the classifier and the mined terms are fitted on.
+#: Bound on the labelled rows the classifier and the mined terms are fitted on.
 TRAIN_ROWS = 20_000
+#: Bound on the rows without a label that the classifier is fitted on as well.
+UNLABELLED_ROWS = 10_000
 #: Parts of their features' table.
 TRAIN_PARTS = 12
 MINED_TERMS = 100
@@ -110,7 +112,7 @@ class LabelModel:
         total = F.aggregate(votes, F.lit(self.prior), lambda s, v: s + F.element_at(table, v + 1))
         odds = F.when(F.size(votes) == 0, F.lit(self.prior + self.clean)).otherwise(total)
         if label is not None:
-            odds = odds + F.when(label == 1, GOLD).otherwise(-GOLD)
+            odds = odds + F.when(label == 1, GOLD).when(label == 0, -GOLD).otherwise(0.0)
         return 1 / (1 + F.exp(-odds))
 
 
@@ -184,9 +186,22 @@ def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
     )
     share = min(1.0, TRAIN_ROWS / max(known.count(), 1))
     bounded = known.where(F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(share * 1_000_000))
+    rows = docs.select(docs["doc_id"].cast("long").alias("id"), text_of(docs).alias("text"))
     # Bounded by TRAIN_ROWS, so broadcast: no text is shuffled.
-    rows = docs.join(F.broadcast(bounded), docs["doc_id"].cast("long") == F.col("id"))
-    return stored(rows.select(text_of(docs).alias("text"), "toxic"), "training")
+    return stored(rows.join(F.broadcast(bounded), "id").select("text", "toxic"), "training")
+
+
+def unlabelled_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(text, toxic), toxic null, of at most about UNLABELLED_ROWS rows outside the
+    held-out fold that have no label."""
+    share = min(1.0, UNLABELLED_ROWS / max(docs.count(), 1))
+    rows = docs.select(docs["doc_id"].cast("long").alias("id"), text_of(docs).alias("text"))
+    some = rows.where(
+        ~held_out(F.col("id")) & (F.pmod(F.xxhash64("id", F.lit(1)), F.lit(1_000_000)) < int(share * 1_000_000))
+    )
+    known = labels.where(labels["toxic"].isNotNull()).select(labels["doc_id"].cast("long").alias("id"))
+    left = some.where("id IS NOT NULL").join(known, "id", "left_anti")
+    return left.select("text", F.lit(None).cast("int").alias("toxic"))
 
 
 def mined_terms(train: DataFrame, balance: float) -> list[str]:
@@ -261,7 +276,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     model = fit_label_model(all_votes, len(voters) + len(PHRASES), balance)
     if not usable:
         return Scorer(voters, model)
-    ready = with_terms(train, F.col("text"))
+    ready = with_terms(train.unionByName(unlabelled_rows(docs, labels)), F.col("text"))
     ready = ready.withColumn("votes", fired(F.col("terms"), F.col("lower"), voters))
     ready = ready.select(
         with_votes(F.col("terms"), F.col("votes")).alias("terms"),
@@ -269,7 +284,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
         "toxic",
     )
     ready = HashingTF(**_HASH).transform(ready).drop("terms")
-    # Bounded by TRAIN_ROWS; each iteration is a job over these few parts.
+    # Bounded by both limits; each iteration is a job over these few parts.
     ready = stored(ready.coalesce(TRAIN_PARTS), "posteriors")
     # A soft label is both labels, weighted.
     sides = F.array(
@@ -282,7 +297,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
     ).fit(both)
     linear.setProbabilityCol("").setPredictionCol("")
     margins = VectorAssembler(inputCols=["margin"], outputCol="x").transform(
-        _margin(linear, ready).select("margin", F.col("toxic").cast("double").alias("label"))
+        _margin(linear, ready.where("toxic IS NOT NULL")).select("margin", F.col("toxic").cast("double").alias("label"))
     )
     fitted = LogisticRegression(featuresCol="x", maxIter=30, regParam=1e-4, standardization=False).fit(margins)
     slope, shift = float(fitted.coefficients[0]), float(fitted.intercept)

@@ -176,7 +176,9 @@ def neighbours(docs: DataFrame, k: int = GRAM, w: int = WINDOW) -> DataFrame:
                     )
                 held = None if later else now
             if out:
-                frame = pd.DataFrame(out, columns=[c.split()[0] for c in SCHEMA.split(", ")])
-                yield frame.astype({"doc_id": "Int64"})
+                names = [c.split()[0] for c in SCHEMA.split(", ")]
+                columns = dict(zip(names, zip(*out)))
+                # Not by way of doubles, which a null among the ids would bring.
+                yield pd.DataFrame(columns | {"doc_id": pd.array(columns["doc_id"], dtype="Int64")})
 
     return _in_ranges(docs).mapInPandas(run, SCHEMA)
