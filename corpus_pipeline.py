@@ -7,7 +7,7 @@ folder.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ledgerloom.llm import exact_dedup, mixing, packing, simhash, toxicity
 from ledgerloom.llm.queries import packed_rows, tokenizer
@@ -17,8 +17,10 @@ from ledgerloom.llm.shared import stored
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents scored below the threshold stay. Learns from the labels beside them."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    scored = toxicity.fit(docs, labels).score(docs)
-    return scored.where("predicted = 0").select(*docs.columns)
+    scorer = toxicity.fit(docs, labels)
+    # The documents' own columns travel as one, whatever their names.
+    rows = docs.select(F.struct(*[docs[c] for c in docs.columns]).alias("document"), docs["text"])
+    return scorer.score(rows).where("predicted = 0").select("document.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
