@@ -19,6 +19,7 @@ from ledgerloom.session import build_session
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.sources.lake import Lake, staged_files
 from ledgerloom.streaming.bronze import await_all, await_any, start_bronze
+from ledgerloom.streaming.jdbc import WRITERS_PER_SHARD, SentShards, ShardedSink, start_jdbc_stream
 from ledgerloom.streaming.publish import publish_bundles, start_publish_stream
 from ledgerloom.streaming.speed import SpeedStore, start_speed
 
@@ -42,6 +43,25 @@ def speed(spark: SparkSession, args: argparse.Namespace) -> None:
     _await(spark, queries, args)
 
 
+def jdbc(spark: SparkSession, args: argparse.Namespace) -> None:
+    """Topics to the tables of one database per shard."""
+    queries = []
+    for table in args.tables:
+        checkpoint = f"{args.root}/checkpoints/jdbc-{table}"
+        sink = ShardedSink(
+            args.shard_url,
+            args.target.format(table=table),
+            dict(option.split("=", 1) for option in args.jdbc_option),
+            SentShards(f"{checkpoint}-sent"),
+            args.writers,
+            args.token_property,
+        )
+        queries.append(
+            start_jdbc_stream(spark, _feed(args), ENTITIES[table], sink, checkpoint, _trigger(args))
+        )
+    _await(spark, queries, args)
+
+
 def report(spark: SparkSession, args: argparse.Namespace) -> None:
     """Print the four bronze reports, and the whale mart if it has been built."""
     lake = Lake(spark, args.root, args.table_format)
@@ -116,6 +136,12 @@ def parser() -> argparse.ArgumentParser:
     job.add_argument("--files-per-partition", type=int)
     job = add("speed", speed, feed=True, stream=True, tables=True)
     job.add_argument("--shards", type=int, default=fixed.SHARDS)
+    job = add("jdbc", jdbc, feed=True, stream=True, tables=True)
+    job.add_argument("--shard-url", action="append", required=True, help="once per shard, in order")
+    job.add_argument("--target", default="raw_{table}_local", help="table name, with {table}")
+    job.add_argument("--jdbc-option", action="append", default=[], metavar="KEY=VALUE")
+    job.add_argument("--writers", type=int, default=WRITERS_PER_SHARD, help="connections per shard")
+    job.add_argument("--token-property", help="driver property for the token of an insert")
     job = add("report", report)
     job.add_argument("--whales", action="store_true")
     job.add_argument("--rows", type=int, default=20, help="rows printed of each report")

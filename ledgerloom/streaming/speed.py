@@ -7,7 +7,7 @@ a Delta table, the transaction id of the write serves the same end.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable
 from concurrent.futures import Future
 from dataclasses import dataclass
 
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import IntegerType
 
-from ledgerloom.fixed import JDBC_BATCH_ROWS, SHARDS
+from ledgerloom.fixed import SHARDS
 from ledgerloom.functions.codec import accepted, decode, rejected
 from ledgerloom.functions.columns import normalize_amount, shard_of
 from ledgerloom.schemas import ENTITIES, LONG, OK, RAW, STATUS, TEXT, Entity
@@ -104,17 +104,11 @@ def start_speed_stream(
     trigger: dict | None = None,
 ) -> StreamingQuery:
     rows = speed_rows(feed.stream(spark, entity), entity, store.shards)
-    # The run id is the query's id. It is kept in the checkpoint: a restart
-    # goes on under the same id, and a new checkpoint, whose batches count from
-    # 0 again, gets a new one. The first batch may begin before it is known here.
-    run_id: Future[str] = Future()
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        store.write_batch(batch, entity, run_id.result(START_SECONDS), batch_id)
+    def write(batch: DataFrame, run_id: str, batch_id: int) -> None:
+        store.write_batch(batch, entity, run_id, batch_id)
 
-    query = _start(rows, write, f"speed-{entity.table}", checkpoint, trigger)
-    run_id.set_result(str(query.id))
-    return query
+    return start_batches(rows, write, f"speed-{entity.table}", checkpoint, trigger)
 
 
 def start_speed(
@@ -133,49 +127,27 @@ def start_speed(
     ]
 
 
-def start_jdbc_stream(
-    spark: SparkSession,
-    feed: Feed,
-    entity: Entity,
-    shard_urls: Sequence[str],
-    table: str,
-    properties: Mapping[str, str],
+def start_batches(
+    rows: DataFrame,
+    write: Callable[[DataFrame, str, int], None],
+    name: str,
     checkpoint: str,
-    trigger: dict | None = None,
+    trigger: dict | None,
 ) -> StreamingQuery:
-    """Send accepted rows to one database per shard.
+    """Start a stream whose batches are written under the id of its run.
 
-    Plain inserts cannot be taken back, so a batch that is run again adds its
-    rows again; readers of such a store have to deduplicate by key.
+    The run id is the query's id. It is kept in the checkpoint: a restart goes on under
+    the same id, and a new checkpoint, whose batches count from 0 again, gets a new one.
+    The first batch may begin before it is known here.
     """
-    rows = speed_rows(feed.stream(spark, entity), entity, len(shard_urls))
-    write = jdbc_writer(shard_urls, table, properties)
-    return _start(rows, write, f"jdbc-{entity.table}", checkpoint, trigger)
-
-
-def jdbc_writer(
-    shard_urls: Sequence[str],
-    table: str,
-    properties: Mapping[str, str],
-    append: Callable[[DataFrame, str], None] | None = None,
-) -> BatchWriter:
-    def insert(rows: DataFrame, url: str) -> None:
-        settings = {"batchsize": str(JDBC_BATCH_ROWS), **properties}
-        rows.write.mode("append").jdbc(url, table, properties=settings)
-
-    send = append or insert
-
-    def write(batch: DataFrame, batch_id: int) -> None:
-        # Kept for the loop over shards, which would otherwise fetch and
-        # decode the batch once per shard. A lost executor's part is recomputed.
-        rows = accepted(batch).persist()
-        try:
-            for shard, url in enumerate(shard_urls):
-                send(rows.where(F.col("shard") == shard).drop("shard"), url)
-        finally:
-            rows.unpersist()
-
-    return write
+    run_id: Future[str] = Future()
+
+    def named(batch: DataFrame, batch_id: int) -> None:
+        write(batch, run_id.result(START_SECONDS), batch_id)
+
+    query = _start(rows, named, name, checkpoint, trigger)
+    run_id.set_result(str(query.id))
+    return query
 
 
 def _start(

@@ -11,10 +11,10 @@ from ledgerloom.schemas import BLOCKS, ENTITIES, LOGS, TRANSACTIONS
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.sources.lake import Lake
 from ledgerloom.streaming.bronze import await_all, await_any, bronze_rows, start_bronze
+from ledgerloom.streaming.jdbc import SentShards, ShardedSink, start_jdbc_stream
 from ledgerloom.streaming.speed import (
     SpeedStore,
     _start,
-    jdbc_writer,
     speed_rows,
     start_speed,
     start_speed_stream,
@@ -211,19 +211,53 @@ def test_replayed_batch_replaces_its_rows(spark, tmp_path):
     assert {r.batch_id: r["count"] for r in counts} == {7: 6, 8: 20}
 
 
-def test_jdbc_writer_routes_rows_by_shard(spark):
-    messages = spark.createDataFrame(
-        [(json.dumps(tx(n)),) for n in range(10)] + [("garbage",)], "value STRING"
-    )
-    sent = {}
+class Databases:
+    """What a sink inserts, by url, and how many connections it took."""
+
+    def __init__(self, broken=()):
+        self.rows, self.connections, self.broken = {}, [], set(broken)
+
+    def insert(self, rows, url, token):
+        self.connections.append(rows.rdd.getNumPartitions())
+        if url in self.broken:
+            raise OSError("away")
+        assert "shard" not in rows.columns
+        self.rows.setdefault(url, []).extend(r["tx_hash"] for r in rows.collect())
+
 
-    def append(rows, url):
-        sent[url] = sorted(r.block_number for r in rows.collect())
-        assert set(rows.columns) == set(TRANSACTIONS.store_columns.values())
+def sharded(folder, databases, urls="abc"):
+    return ShardedSink(list(urls), "t", {}, SentShards(str(folder / "sent")), 2, insert=databases.insert)
 
-    write = jdbc_writer(["jdbc:x://a", "jdbc:x://b"], "t", {}, append)
-    write(speed_rows(messages, TRANSACTIONS, 2), 0)
-    assert sent == {"jdbc:x://a": [0, 2, 4, 6, 8], "jdbc:x://b": [1, 3, 5, 7, 9]}
+
+def test_sharded_sink_skips_what_was_sent(spark, tmp_path):
+    messages = spark.createDataFrame([(json.dumps(tx(n)),) for n in range(12)] + [("garbage",)], "value STRING")
+    batch = speed_rows(messages, TRANSACTIONS, 3)
+    databases = Databases(broken="b")
+    sink = sharded(tmp_path, databases)
+    with pytest.raises(OSError):
+        sink.write(batch, "run", 0)
+    assert set(databases.rows) == {"a", "c"}, "the other shards have been sent"
+    databases.broken.clear()
+    expected = {u: sorted(f"0x{n}" for n in range(12) if n % 3 == i) for i, u in enumerate("abc")}
+    for _ in range(2):
+        sink.write(batch, "run", 0)
+        assert {u: sorted(r) for u, r in databases.rows.items()} == expected
+    assert max(databases.connections) <= 2 and len(databases.connections) == 4
+    sink.write(batch, "other run", 0)
+    assert len(databases.rows["a"]) == 8
+
+
+def test_jdbc_stream_replays_nothing(spark, feed, tmp_path):
+    databases = Databases(broken="a")
+    sink = sharded(tmp_path, databases, "ab")
+    start = lambda: start_jdbc_stream(spark, feed, TRANSACTIONS, sink, str(tmp_path / "points"), ONCE)
+    with pytest.raises(StreamingQueryException):
+        start().awaitTermination()
+    databases.broken.clear()
+    for _ in range(2):
+        start().awaitTermination()
+    sent = sorted(databases.rows["a"] + databases.rows["b"])
+    assert sent == sorted(set(sent)) and len(sent) == len(GOOD)
 
 
 def test_one_failing_stream_ends_the_job(spark, feed, tmp_path):
