@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,10 +13,12 @@ MAX_ROUNDS = 100
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach. Only where the cluster names none, as
-    in tests, a folder of this machine is taken and set for the session."""
+    """The folder every executor can reach. Only where driver and executors are one
+    process, as in tests, a folder of this machine does as well and is set for the session."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         folder = "file://" + tempfile.mkdtemp(prefix="ledgerloom-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")

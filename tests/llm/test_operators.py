@@ -56,7 +56,8 @@ def _by_id(rows):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows_as_sql(spark, name):
     con = duckdb.connect()
-    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
+    for table in ("documents", "benchmark", "embeddings"):
+        con.execute(f"CREATE VIEW {table} AS SELECT * FROM '{SF_DIR}/{table}.parquet'")
     cursor = con.execute(queries.oracle_sql()[name])
     names = [d[0] for d in cursor.description]
     df = queries.queries()[name](spark, SF_DIR)
