@@ -7,6 +7,9 @@ cumulative weights the point lies fills the slot with its next block. Over a
 complete set of 2^m points each source gets its share of slots to within one, and
 nearly so in any stretch. A closing slot of each source takes what its target leaves.
 
+``mixed_documents`` comes in the order of the schedule, so that any beginning of the
+mixture is near the weights, and is written so by a plain write.
+
 Sizes are counts of words (a null or empty text has 0). A document with no words is
 never taken. A null source is a source of its own, the last. Rows that agree in
 everything are separate documents. Other columns are ignored by ``mixture`` and
@@ -200,12 +203,18 @@ def mixture(sizes: DataFrame, sources: DataFrame, slots: DataFrame) -> DataFrame
 
 
 def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """row_id, doc_id, content, size, source_size, target, taken of each document."""
+    """row_id, doc_id, content, size, source_size, target, taken of each document, the
+    first and last slot that take from it (null: none does), and ``starts``, the first
+    slot of each of its epochs in the mixture."""
     sizes = sized(docs)
     wanted = stored(targets(sizes), "targets")
     sources = stored(layout(wanted, block_words), "sources")
+    starts = [F.min(F.when(F.col("epoch") == e, F.col("slot"))) for e in range(MAX_EPOCHS)]
     taken = mixture(sizes, sources, schedule(sources)).groupBy("row_id").agg(
-        F.sum("n_words").alias("taken")
+        F.sum("n_words").alias("taken"),
+        F.min("slot").alias("first_slot"),
+        F.max("slot").alias("last_slot"),
+        F.array_compact(F.array(*starts)).alias("starts"),
     )
     about = wanted.select("key", "source_size", "target")
     return (
@@ -219,14 +228,17 @@ def mix(docs: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
             "source_size",
             "target",
             F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
+            "first_slot",
+            "last_slot",
+            "starts",
         )
     )
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mixture takes it, to the nearest
-    whole document (at most three times). Rows equal in doc_id, source and text are
-    told apart by a number."""
+    whole document (at most three times), in the order of the slots in which its epochs
+    begin. Rows equal in doc_id, source and text are told apart by a number."""
     nth = lambda order: F.row_number().over(W.partitionBy("doc_id", "content").orderBy(order))
     copies = (
         mix(docs)
@@ -234,7 +246,12 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         .where("size > 0")
         .withColumn("copies", F.round(F.try_divide("taken", "size")).cast("int"))
         .where("copies > 0")
-        .select(F.col("doc_id").alias("id"), "content", "nth", "copies")
+        .select(
+            F.col("doc_id").alias("id"),
+            "content",
+            "nth",
+            F.explode(F.slice("starts", F.lit(1), F.col("copies"))).alias("slot"),
+        )
     )
     rows = (
         docs.select(
@@ -250,8 +267,8 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
         & (rows["content"] == copies["content"])
         & (rows["nth"] == copies["nth"])
     )
-    return (
-        rows.join(copies, same)
-        .select("row", F.explode(F.sequence(F.lit(1), "copies")).alias("copy"))
-        .select("row.*")
-    )
+    # A slot has one block of one source, so no slot is hot and the ranges are even.
+    placed = rows.join(copies, same).select("row", "slot", rows["id"], rows["content"])
+    return placed.repartitionByRange("slot", "id", "content").sortWithinPartitions(
+        "slot", "id", "content"
+    ).select("row.*")

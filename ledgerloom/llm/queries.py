@@ -47,7 +47,9 @@ def _license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(_docs(spark, sf_dir)).select("doc_id", "size", "source_size", "target", "taken")
+    return mixing.mix(_docs(spark, sf_dir)).select(
+        "doc_id", "size", "source_size", "target", "taken", "first_slot", "last_slot"
+    )
 
 
 def _token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -154,6 +156,8 @@ _EXACT_SQL = """
 
 # The words of a source that the mixture takes are the first ones of its stream, up to
 # its target; the schedule only decides when.
+# Slots rise with the rank within a source: a document's first one is that of its first
+# word in the first epoch, its last one that of its last word in the last.
 _MIX_SQL = r"""
     WITH d AS (
       SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \x09-\x0D]+')) AS size,
@@ -175,16 +179,43 @@ _MIX_SQL = r"""
                        / CAST(max(load) FILTER (NOT stopped) OVER () AS DOUBLE) END AS target
       FROM s),
     p AS (
-      SELECT d.doc_id, d.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS words,
-             sum(d.size) OVER (PARTITION BY d.source ORDER BY d.shuffle, d.doc_id, d.size
-                               ROWS UNBOUNDED PRECEDING) - d.size AS pos
-      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+      SELECT d.doc_id, d.source, d.size, t.source_size, t.target, CAST(round(t.target) AS BIGINT) AS words,
+             CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.shuffle, d.doc_id, d.size
+                               ROWS UNBOUNDED PRECEDING) - d.size AS BIGINT) AS pos
+      FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source),
+    u AS (
+      SELECT *, CAST(sum(words) OVER () AS BIGINT) AS total,
+             CAST(sum(words) OVER (ORDER BY source NULLS LAST ROWS UNBOUNDED PRECEDING) AS BIGINT) AS upto,
+             row_number() OVER (ORDER BY source NULLS LAST) AS number
+      FROM (SELECT source, CAST(round(target) AS BIGINT) AS words FROM t) WHERE words > 0),
+    b AS (SELECT *, CAST(greatest(ceil(log2(total / 1024)), 0) AS INTEGER) AS bits FROM u),
+    g AS (
+      SELECT *, 1::BIGINT << bits AS slots, (total + (1::BIGINT << bits) - 1) // (1::BIGINT << bits) AS block,
+             (((upto - words)::HUGEINT << bits) + total - 1) // total AS low,
+             ((upto::HUGEINT << bits) + total - 1) // total AS high
+      FROM b),
+    v AS (
+      SELECT source, CAST(row_number() OVER (PARTITION BY source ORDER BY slot) - 1 AS BIGINT) AS rank, slot
+      FROM (SELECT source, CASE WHEN bits = 0 THEN 0
+                   ELSE CAST('0b' || reverse(lpad(bin(point), bits, '0')) AS BIGINT) END AS slot
+            FROM (SELECT source, bits, unnest(generate_series(CAST(low AS BIGINT), CAST(high - 1 AS BIGINT))) AS point
+                  FROM g))
+      UNION ALL
+      SELECT source, CAST(high - low AS BIGINT), slots + number - 1 FROM g),
+    e AS (
+      SELECT p.*, CASE WHEN p.size > 0 AND pos < p.words THEN pos // block END AS first_rank,
+             CASE WHEN p.size > 0 AND pos < p.words THEN
+               (least(pos + least(2, (p.words - 1 - pos) // source_size) * source_size + p.size, p.words) - 1) // block
+             END AS last_rank
+      FROM p LEFT JOIN g ON p.source IS NOT DISTINCT FROM g.source)
     SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+           CAST(a.slot AS BIGINT) AS first_slot, CAST(z.slot AS BIGINT) AS last_slot,
            CAST(greatest(0, least(pos + size, words) - pos)
               + greatest(0, least(pos + source_size + size, words) - pos - source_size)
               + greatest(0, least(pos + 2 * source_size + size, words) - pos - 2 * source_size)
              AS BIGINT) AS taken
-    FROM p
+    FROM e LEFT JOIN v a ON e.source IS NOT DISTINCT FROM a.source AND e.first_rank = a.rank
+           LEFT JOIN v z ON e.source IS NOT DISTINCT FROM z.source AND e.last_rank = z.rank
 """
 
 
