@@ -31,8 +31,10 @@ from .shared import stored, text_of
 GRAM, WINDOW = 10, 40
 STRETCH = 1 << 18
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
-#: Ranges of doc_ids, at most: their bounds and first documents are broadcast.
-MAX_RANGES = 4096
+#: Bytes of text in a range of doc_ids, about, and ranges at most: their bounds and
+#: first documents are broadcast.
+RANGE_BYTES = 32 << 20
+MAX_RANGES = 1 << 15
 
 
 def _grams(points: np.ndarray, k: int) -> np.ndarray:
@@ -99,10 +101,14 @@ def _in_ranges(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     wide = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key = F.coalesce(docs["doc_id"].cast("long"), F.lit((1 << 63) - 1))
-    keys = stored(docs.select(key.alias("key")), "keys")
-    n = max(1, min(wide, MAX_RANGES))
+    keys = stored(docs.select(key.alias("key"), F.octet_length(text_of(docs)).alias("bytes")), "keys")
+    # By the size of the texts, and for a small table by the tasks there are.
+    total = keys.agg(F.sum("bytes")).first()[0] or 0
+    n = max(1, min(max(wide, -(-total // RANGE_BYTES)), MAX_RANGES))
     cuts = keys.agg(
-        F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], 100 * n).alias("c")
+        F.percentile_approx(
+            "key", [i / n for i in range(1, n)] or [0.5], min(100 * n, 1_000_000)
+        ).alias("c")
     ).first()["c"]
     splits = [-float("inf"), *sorted({float(c) for c in cuts or [0]}), float("inf")]
     bucket = Bucketizer(splits=splits, inputCol="number", outputCol="bucket")
@@ -112,7 +118,7 @@ def _in_ranges(docs: DataFrame) -> DataFrame:
         return rows.withColumn("range", F.col("bucket").cast("int")).drop("number", "bucket")
 
     # One row for each range, so bounded; the range before it, the first's is the last.
-    firsts = dealt(keys).groupBy("range").agg(F.min("key").alias("key")).orderBy("range").collect()
+    firsts = dealt(keys.select("key")).groupBy("range").agg(F.min("key").alias("key")).orderBy("range").collect()
     before = [(r["key"], firsts[i - 1]["range"]) for i, r in enumerate(firsts)]
     also = F.broadcast(spark.createDataFrame(before, "key long, before int"))
     rows = dealt(
@@ -133,7 +139,8 @@ def _in_ranges(docs: DataFrame) -> DataFrame:
     rows = rows.join(also, "key", "left").withColumn("to", F.explode(copies))
     return (
         rows.select("to.range", "to.later", "key", "none", "text")
-        .repartition(len(splits) - 1, "range")
+        # Range i to partition i: hashed, some partitions would get several, some none.
+        .repartitionById(len(splits) - 1, "range")
         .sortWithinPartitions("range", "later", "key", "none", "text")
     )
 

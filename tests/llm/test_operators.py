@@ -8,6 +8,7 @@ import zlib
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 import xxhash
 from pyspark.sql import functions as F
@@ -225,6 +226,30 @@ def test_mixture_takes_whole_targets_in_schedule_order(docs):
     assert taken == {k: v["words"] for k, v in share.items()}
 
 
+def test_mixture_comes_in_schedule_order(spark, docs, tmp_path):
+    """Written and read back file by file, any beginning of the mixture is near the
+    weights: a source's share of its words differs from that of the whole by little."""
+    about = {r["doc_id"]: r for r in mixing.mix(docs).collect()}
+    mixing.mixed_documents(docs).write.parquet(str(tmp_path / "mixed"))
+    files = sorted((tmp_path / "mixed").glob("*.parquet"))
+    rows = [r for f in files for r in pq.read_table(f, columns=["doc_id", "source"]).to_pylist()]
+    starts = collections.defaultdict(list)
+    for row in rows:
+        starts[row["doc_id"]].append(None)
+    assert all(len(starts[i]) == round(about[i]["taken"] / about[i]["size"]) for i in starts)
+    seen, slots = collections.Counter(), []
+    for row in rows:
+        slots.append(about[row["doc_id"]]["starts"][seen[row["doc_id"]]])
+        seen[row["doc_id"]] += 1
+    assert slots == sorted(slots)
+    size = lambda some: sum(about[r["doc_id"]]["size"] for r in some)
+    longest = max(about[r["doc_id"]]["size"] for r in rows)
+    for n in range(len(rows) // 4, len(rows), len(rows) // 8):
+        for source in {r["source"] for r in rows}:
+            own = lambda some: size([r for r in some if r["source"] == source])
+            assert abs(own(rows[:n]) - own(rows) * size(rows[:n]) / size(rows)) <= 4 * longest
+
+
 def test_mixing_targets_by_hand(spark):
     rows = [("a", 10), ("b", 1000), ("c", 1000), (None, 1000)]
     sizes = spark.createDataFrame(
@@ -796,6 +821,17 @@ def test_neighbours_against_a_plain_loop(spark, docs, texts):
         assert row["near_next"] == winnowing.likeness(np.unique(a[0]), np.unique(c[0]))
 
 
+def test_ranges_follow_bytes_and_have_a_task_each(docs, monkeypatch):
+    monkeypatch.setattr(winnowing, "RANGE_BYTES", 20_000)
+    dealt = winnowing._in_ranges(docs).withColumn("task", F.spark_partition_id())
+    rows = dealt.groupBy("task").agg(
+        F.count_distinct("range").alias("n"), F.min("range").alias("range"), F.sum(F.length("text")).alias("size")
+    ).collect()
+    total = sum(r["size"] for r in rows)
+    assert all(r["n"] == 1 and r["task"] == r["range"] for r in rows)
+    assert len(rows) > 0.9 * total / 20_000
+
+
 def test_winnowing_odd_rows(spark, odd_docs, no_docs):
     rows = winnowing.neighbours(odd_docs).collect()
     assert sorted(map(str, (r["doc_id"] for r in rows))) == sorted(map(str, (r["doc_id"] for r in odd_docs.collect())))
