@@ -688,10 +688,22 @@ def test_planted_passages(spark):
     caught = {r["doc_id"] for r in found}
     assert caught <= planted and len(caught) >= 0.95 * len(planted)
     texts = dict(rows)
+    repeated = {w for p in (*passages, line) for w in p.split()}
+    covered = collections.Counter()
     for r in found:
-        span = texts[r["doc_id"]][r["start_char"] : r["end_char"]]
-        assert any(span.strip() in p or p in span for p in passages) or span.strip()
+        begin, end = r["start_char"], r["end_char"]
+        text = texts[r["doc_id"]]
+        # Words at the ends may be cut; all others are of what was repeated.
+        assert set(text[begin:end].split()[1:-1]) <= repeated
         assert (r["first_doc_id"] == r["doc_id"]) == r["kept"]
+        passage = passages[r["doc_id"] // 4 % 12]
+        at = text.index(passage)
+        covered[r["doc_id"]] += max(0, min(end, at + len(passage)) - max(begin, at)) / len(passage)
+    # Whole chunks are reported, so a passage's ends are not, but in each document the
+    # same part of it, wherever it stands.
+    assert all(covered[i] > 0 for i in caught)
+    for i in caught:
+        assert covered[i] == pytest.approx(max(covered[j] for j in caught if j // 4 % 12 == i // 4 % 12))
 
 
 def test_passage_half_of_which_occurs_earlier(spark):
