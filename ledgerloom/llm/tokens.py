@@ -57,31 +57,30 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         mark = self.library.encode(MARK, add_special_tokens=False).ids
         self.mark_id = mark[0] if len(mark) == 1 else None
-        self.known: dict[object, int] = {}
-        self.ids = np.empty(1 << 16, dtype=np.uint32)
-        self.ends = np.zeros(1 << 12, dtype=np.int64)
+        #: The bytes of each piece's ids, and how many ids there are.
+        self.known: dict[object, bytes] = {}
+        self.n_ids = 0
 
     def _trim(self) -> None:
         """Forgets all but the first pieces, or all if those are too long to keep."""
-        keep = FIRST_PIECES if len(self.known) > FIRST_PIECES else 0
-        if self.ends[keep] > MAX_IDS // 2:
-            keep = 0
-        self.known = dict(itertools.islice(self.known.items(), keep))
+        self.known = dict(itertools.islice(self.known.items(), FIRST_PIECES))
+        self.n_ids = sum(map(len, self.known.values())) // 4
+        if self.n_ids > MAX_IDS // 2:
+            self.known, self.n_ids = {}, 0
 
-    def _ids(self, texts: list[str]) -> list[array]:
-        return [array("I", e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        coded = self.library.encode_batch_fast(texts, add_special_tokens=False)
+        return [array("I", e.ids).tobytes() for e in coded]
 
-    def _strung(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
-        """The ids of the pieces, and how many each has."""
+    def _strung(self, pieces: list[str]) -> list[bytes] | None:
+        """The ids of each of the pieces."""
         some = range(0, len(pieces), PIECES_AT_ONCE)
         after = MARK + " "
-        ids = self._ids([f" {after.join(pieces[i : i + PIECES_AT_ONCE])}{MARK}" for i in some])
-        flat = np.frombuffer(b"".join(ids), dtype=np.uint32)
-        marks = flat == self.mark_id
-        ends = np.flatnonzero(marks)
+        raw = b"".join(self._ids([f" {after.join(pieces[i : i + PIECES_AT_ONCE])}{MARK}" for i in some]))
+        ends = (np.flatnonzero(np.frombuffer(raw, dtype=np.uint32) == self.mark_id) * 4).tolist()
         if len(ends) != len(pieces):
             return None
-        return flat[~marks], np.diff(ends, prepend=-1) - 1
+        return [raw[a:b] for a, b in zip([0] + [end + 4 for end in ends], ends)]
 
     def _add(self, pieces: list) -> None:
         strung, single = [], []
@@ -93,40 +92,26 @@ class Encoder:
                 single.append(p)
         found = self._strung(strung) if strung and self.mark_id is not None else None
         if found is None:
-            single, strung = pieces, []
-            found = np.empty(0, dtype=np.uint32), np.empty(0, dtype=np.int64)
-        lists = self._ids([p[0] if type(p) is tuple else " " + p for p in single])
-        new = np.concatenate([found[0], np.frombuffer(b"".join(lists), dtype=np.uint32)])
-        n = len(self.known)
-        lengths = np.concatenate([found[1], np.array([len(x) for x in lists], dtype=np.int64)])
-        ends = self.ends[n] + np.cumsum(lengths)
-        while ends[-1] > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
-        while n + 1 + len(ends) > len(self.ends):
-            self.ends = np.concatenate([self.ends, np.zeros_like(self.ends)])
-        self.ids[self.ends[n] : ends[-1]] = new
-        self.ends[n + 1 : n + 1 + len(ends)] = ends
-        self.known.update(zip(strung + single, range(n, n + len(pieces))))
-
-    def _encode(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.known) > MAX_PIECES or self.ends[len(self.known)] > MAX_IDS:
+            strung, single, found = [], pieces, []
+        found += self._ids([p[0] if type(p) is tuple else " " + p for p in single])
+        self.known.update(zip(strung + single, found))
+        self.n_ids += sum(map(len, found)) // 4
+
+    def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+        if len(self.known) > MAX_PIECES or self.n_ids > MAX_IDS:
             self._trim()
-        pieces, counts = [], []
+        pieces, ends = [], []
         for text in texts:
-            some = pieces_of(text)
-            pieces += some
-            counts.append(len(some))
+            pieces += pieces_of(text)
+            ends.append(len(pieces))
         found = list(map(self.known.get, pieces))
-        if None in found:
-            self._add([p for p in dict.fromkeys(pieces) if p not in self.known])
-            known = self.known
-            found = [known[p] if at is None else at for p, at in zip(pieces, found)]
-        places = np.array(found, dtype=np.int64)
-        starts = self.ends[places]
-        lengths = self.ends[places + 1] - starts
-        upto = np.cumsum(lengths)
-        flat = self.ids[np.repeat(starts - upto + lengths, lengths) + np.arange(int(upto[-1]))]
-        return np.split(flat, upto[np.cumsum(counts) - 1][:-1])
+        new = [i for i, ids in enumerate(found) if ids is None]
+        if new:
+            self._add(list(dict.fromkeys([pieces[i] for i in new])))
+            for i in new:
+                found[i] = self.known[pieces[i]]
+        for a, b in zip([0] + ends, ends):
+            yield np.frombuffer(b"".join(found[a:b]), dtype=np.uint32)
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         some, chars = [], 0
