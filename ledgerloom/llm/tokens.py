@@ -23,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-_BLANK_AND_SPACE = [c + " " for c in map(chr, range(0x3001)) if c.isspace()]
+_BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace()]
 _SAFE_SPACE = re.compile(r" (?=\S)")
 #: Written after each of the pieces that are encoded together.
 MARK = "0"
@@ -39,7 +39,8 @@ CHARS_AT_ONCE = 1 << 17
 
 def pieces_of(text: str) -> list:
     """The pieces; all but the first, a 1-tuple, are without the space before them."""
-    if any(map(text.__contains__, _BLANK_AND_SPACE)):
+    # Looking for one character is much quicker than for two.
+    if any(c + " " in text for c in filter(text.__contains__, _BLANKS)):
         pieces = _SAFE_SPACE.split(text)
     else:
         pieces = text.split(" ")
