@@ -6,6 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+#: Keys are counted by hash in so many buckets; a bucket of more rows than one task
+#: sorts in memory holds a key with very many copies, or several with many.
+BUCKETS, HOT_ROWS = 1 << 16, 1_000_000
+
 
 def dedup_latest(
     rows: DataFrame, keys: Sequence[str], latest_first: Sequence[Column]
@@ -13,10 +17,28 @@ def dedup_latest(
     """Keep one row per key: the first by `latest_first`, which should be a
     total order up to identical rows.
 
-    `row_number() = 1` lets the optimizer cut every key down to one row inside
-    each map task (WindowGroupLimit) before the shuffle, so a key with very
-    many copies sends one row per task.
+    Rows are shuffled by key as they come and sorted only there, where a task has its
+    share of the keys; sorted before, a map task's whole input would be spilled. Keys
+    with very many copies are cut down first: see `_first`. Without any, which a count
+    of the keys alone shows, adaptive execution drops that part before it reads a row.
     """
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(BUCKETS))
+    marked = rows.withColumn("_bucket", bucket)
+    hot = marked.groupBy("_bucket").count().where(F.col("count") > HOT_ROWS)
+    hot = F.broadcast(hot.select("_bucket"))
+    few = marked.join(hot, "_bucket", "left_anti").select(*_named(rows)).repartition(*keys)
+    many = marked.join(hot, "_bucket", "left_semi").select(*_named(rows))
+    return _first(few, keys, latest_first).union(_first(many, keys, latest_first))
+
+
+def _named(rows: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in rows.columns]
+
+
+def _first(rows: DataFrame, keys: Sequence[str], latest_first: Sequence[Column]) -> DataFrame:
+    """`row_number() = 1` lets the optimizer cut every key down to one row inside
+    each map task (WindowGroupLimit) before a shuffle that it adds itself, so a key
+    with very many copies sends one row per task."""
     order = Window.partitionBy(*keys).orderBy(*latest_first)
     return (
         rows.withColumn("_rank", F.row_number().over(order))

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DateType
 
-from ledgerloom.operators import quality, sync_state
+from ledgerloom.operators import dedup, quality, sync_state
 from ledgerloom.operators.bundle import BUNDLE_SCHEMA, split_bundles
+from ledgerloom.operators.dedup import dedup_ingested
 from ledgerloom.operators.joins import broadcast_if_small
 from ledgerloom.operators.sync_state import (
     SyncStateStore,
@@ -362,3 +363,48 @@ def test_bucketed_tables_join_without_shuffle(spark, tmp_path):
     assert hot.count() == 6_000
     for table in ("bucketed_txs", "bucketed_logs", "bucketed_hot"):
         spark.sql(f"DROP TABLE {table}")
+
+
+def final_plan(rows):
+    """Text of the plan as it ran."""
+    rows.collect()
+    return plan_of(rows).split("== Initial Plan ==")[0]
+
+
+def below(plan, name):
+    """The part of a plan under the first line with this name."""
+    lines = plan.splitlines()
+    depths = [len(line) - len(line.lstrip(" :+-*")) for line in lines]
+    at = next(i for i, line in enumerate(lines) if name in line)
+    end = next((i for i in range(at + 1, len(lines)) if depths[i] <= depths[at]), len(lines))
+    return "\n".join(lines[at + 1 : end])
+
+
+def test_copies_are_not_sorted_before_the_shuffle(spark):
+    rows = spark.range(500).selectExpr("id % 100 AS k", "id AS at", "CAST(id AS STRING) AS v")
+    kept = dedup_ingested(rows, ["k"], "at")
+    plan = final_plan(kept)
+    assert sorted(tuple(r) for r in kept.collect()) == [(k, 400 + k, str(400 + k)) for k in range(100)]
+    assert "Sort [" not in below(plan, "Exchange"), "a map task's whole input would be spilled"
+
+
+def test_a_key_of_many_copies_is_cut_down_before_the_shuffle(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "HOT_ROWS", 50)
+    rows = spark.sql(
+        "SELECT * FROM (SELECT CASE WHEN id < 900 THEN id % 100 WHEN id < 950 THEN 1000 END AS k, "
+        "id % 7 AS at, CAST(id AS STRING) AS v FROM range(1000)) ORDER BY v"
+    )
+    kept = dedup_ingested(rows, ["k"], "at")
+    plan = final_plan(kept)
+    expected = {}
+    for k, at, v in rows.collect():
+        expected[k] = min(expected.get(k, (0, "~")), (-at, v))
+    assert {r.k: (-r["at"], r.v) for r in kept.collect()} == expected
+    assert kept.count() == 102
+    assert "EmptyRelation Join LeftSemi" in plan, "no key has more than 50 rows"
+    monkeypatch.setattr(dedup, "HOT_ROWS", 49)
+    kept = dedup_ingested(rows, ["k"], "at")
+    plan = final_plan(kept)
+    assert {r.k: (-r["at"], r.v) for r in kept.collect()} == expected
+    assert kept.count() == 102
+    assert "EmptyRelation Join LeftSemi" not in plan
