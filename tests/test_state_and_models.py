@@ -18,7 +18,7 @@ from ledgerloom.operators.sync_state import (
 )
 from ledgerloom.plans import compaction, models
 from ledgerloom.fixed import GOLD_WHALES as GOLD, SILVER_TRANSACTIONS as SILVER
-from ledgerloom.plans.daily import run_daily, silver_table
+from ledgerloom.plans.daily import run_daily, silver_rows, silver_table
 from ledgerloom.schemas import BLOCKS, LOGS, SYNC_STATE_SCHEMA, TRANSACTIONS
 from ledgerloom.sources.feeds import Feed
 from ledgerloom.sources.lake import Lake, staged_files
@@ -388,6 +388,14 @@ def test_copies_are_not_sorted_before_the_shuffle(spark):
     assert "Sort [" not in below(plan, "Exchange"), "a map task's whole input would be spilled"
 
 
+def test_silver_sorts_copies_only_where_they_meet(spark):
+    txs = wallets(spark, {"a": 3}).withColumn("ingestionTimestamp", F.lit(1).cast("long"))
+    late = txs.withColumns({"ingestionTimestamp": F.lit(2).cast("long"), "to": F.lit("z")})
+    silver = silver_rows(txs.unionByName(late))
+    assert "Sort [" not in below(final_plan(silver), "Exchange")
+    assert [r.to_address for r in silver.collect()] == ["z"] * 3
+
+
 def test_a_key_of_many_copies_is_cut_down_before_the_shuffle(spark, monkeypatch):
     monkeypatch.setattr(dedup, "HOT_ROWS", 50)
     rows = spark.sql(
