@@ -9,6 +9,9 @@ A call of the library costs more than a short piece, so new pieces are strung to
 with a digit after each. Neither vocabulary joins a digit to a letter or sign before it
 or to a space after it, and its id shows where a piece ends. Pieces that hold that
 digit, or end in neither a letter nor a sign, are encoded one by one.
+
+A word of a-z needs no normalising, and the library's model takes it as it is, with what
+the vocabulary writes for the space before it.
 """
 
 from __future__ import annotations
@@ -58,10 +61,22 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         mark = self.library.encode(MARK, add_special_tokens=False).ids
         self.mark_id = mark[0] if len(mark) == 1 else None
+        #: What stands for the space before a word; None if words of a-z are changed or cut.
+        self.space = self._space()
         #: The bytes of each piece's ids, and how many ids there are.
         self.known: dict[object, bytes] = {}
         self.n_ids = 0
 
+    def _space(self) -> str | None:
+        letters = string.ascii_lowercase
+        text = self.library.normalizer.normalize_str(" " + letters) if self.library.normalizer else " " + letters
+        words = self.library.pre_tokenizer.pre_tokenize_str(text) if self.library.pre_tokenizer else []
+        return words[0][0][: -len(letters)] if len(words) == 1 and words[0][0].endswith(letters) else None
+
+    def _words(self, words: list[str]) -> list[bytes]:
+        tokenize, space = self.library.model.tokenize, self.space
+        return [array("I", [t.id for t in tokenize(space + word)]).tobytes() for word in words]
+
     def _trim(self) -> None:
         """Forgets all but the first pieces, or all if those are too long to keep."""
         self.known = dict(itertools.islice(self.known.items(), FIRST_PIECES))
@@ -84,8 +99,11 @@ class Encoder:
         return [raw[a:b] for a, b in zip([0] + [end + 4 for end in ends], ends)]
 
     def _add(self, pieces: list) -> None:
-        strung, single = [], []
+        plain, strung, single = [], [], []
         for p in pieces:
+            if self.space is not None and type(p) is str and p.isalpha() and p.isascii() and p.islower():
+                plain.append(p)
+                continue
             fits = type(p) is str and p and MARK not in p and not p[0].isspace()
             if fits and (p[-1].isalpha() or p[-1] in _ENDS):
                 strung.append(p)
@@ -93,9 +111,10 @@ class Encoder:
                 single.append(p)
         found = self._strung(strung) if strung and self.mark_id is not None else None
         if found is None:
-            strung, single, found = [], pieces, []
+            strung, single, found = [], strung + single, []
         found += self._ids([p[0] if type(p) is tuple else " " + p for p in single])
-        self.known.update(zip(strung + single, found))
+        found += self._words(plain)
+        self.known.update(zip(strung + single + plain, found))
         self.n_ids += sum(map(len, found)) // 4
 
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:

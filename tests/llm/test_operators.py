@@ -883,3 +883,14 @@ def test_pipeline_stages(spark, docs, texts):
     library = Encoder(queries.tokenizer("word_bpe_49k.json")).library
     tokens = sum(len(library.encode(t, add_special_tokens=False).ids) + 1 for _, t in out["mixing"])
     assert sum(r["length"] for r in packed) == tokens
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_plain_words_go_to_the_model_alone(name):
+    encode = Encoder(queries.tokenizer(name))
+    words = ["zebra", "s", "unheardofcompound", "x" * 300]
+    expected = [encode.library.encode(" " + w, add_special_tokens=False).ids for w in words]
+    encode._ids = lambda texts: pytest.fail("normalised and cut for nothing")
+    encode._add(words)
+    assert [np.frombuffer(encode.known[w], dtype=np.uint32).tolist() for w in words] == expected
+    assert encode.n_ids == sum(map(len, expected))
