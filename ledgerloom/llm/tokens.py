@@ -10,8 +10,10 @@ with a digit after each. Neither vocabulary joins a digit to a letter or sign be
 or to a space after it, and its id shows where a piece ends. Pieces that hold that
 digit, or end in neither a letter nor a sign, are encoded one by one.
 
-A word of a-z needs no normalising, and the library's model takes it as it is, with what
-the vocabulary writes for the space before it.
+A word of Latin letters needs no normalising: the library's model takes it as the vocabulary
+writes it, with what it writes for the space before it. A few signs and one end of line
+after such a word, and one more word after these, are looked up by themselves, as both
+vocabularies always cut there.
 """
 
 from __future__ import annotations
@@ -31,6 +33,10 @@ _SAFE_SPACE = re.compile(r" (?=\S)")
 #: Written after each of the pieces that are encoded together.
 MARK = "0"
 _ENDS = frozenset(string.punctuation)
+#: Letters that a word may have, and signs that may end it.
+_LETTERS = string.ascii_letters + "".join(c for c in map(chr, range(0xC0, 0x100)) if c.isalpha())
+_SIGNS = ".,;:!?*)$#%&"
+_WORDS = re.compile(rf"([{_LETTERS}]+)([{re.escape(_SIGNS)}]*\n?)([{_LETTERS}]*)")
 #: Pieces strung together.
 PIECES_AT_ONCE = 256
 #: Pieces kept in a worker, and their ids; beyond that only the first ones, which are
@@ -61,21 +67,60 @@ class Encoder:
         self.library = Tokenizer.from_file(path)
         mark = self.library.encode(MARK, add_special_tokens=False).ids
         self.mark_id = mark[0] if len(mark) == 1 else None
-        #: What stands for the space before a word; None if words of a-z are changed or cut.
+        #: How each letter is written, and the space before a word; None if words of
+        #: these letters are cut, or not cut from what is around them.
+        self.written: dict[int, str] = {}
         self.space = self._space()
         #: The bytes of each piece's ids, and how many ids there are.
         self.known: dict[object, bytes] = {}
         self.n_ids = 0
 
-    def _space(self) -> str | None:
-        letters = string.ascii_lowercase
-        text = self.library.normalizer.normalize_str(" " + letters) if self.library.normalizer else " " + letters
-        words = self.library.pre_tokenizer.pre_tokenize_str(text) if self.library.pre_tokenizer else []
-        return words[0][0][: -len(letters)] if len(words) == 1 and words[0][0].endswith(letters) else None
+    def _cut(self, text: str) -> list[str]:
+        """The words that the library cuts a text into."""
+        library = self.library
+        text = library.normalizer.normalize_str(text) if library.normalizer else text
+        return [w for w, _ in library.pre_tokenizer.pre_tokenize_str(text)] if library.pre_tokenizer else [text]
 
-    def _words(self, words: list[str]) -> list[bytes]:
-        tokenize, space = self.library.model.tokenize, self.space
-        return [array("I", [t.id for t in tokenize(space + word)]).tobytes() for word in words]
+    def _space(self) -> str | None:
+        first = self._cut(" a")
+        if len(first) != 1 or not first[0].endswith("a"):
+            return None
+        space = first[0][:-1]
+        for c in _LETTERS:
+            whole = self._cut(f" a{c}a")
+            if len(whole) != 1 or not whole[0].startswith(f"{space}a") or not whole[0].endswith("a"):
+                return None
+            self.written[ord(c)] = whole[0][len(space) + 1 : -1]
+        if self._cut(f" {_LETTERS}") != [space + _LETTERS.translate(self.written)]:
+            return None
+        for sign in ["\n"] + [sign + end for sign in _SIGNS for end in ("", "\n")]:
+            if self._cut(f" ab{sign}cd") != [f"{space}ab", *self._cut(sign), "cd"]:
+                return None
+        return space
+
+    def _word(self, space: str, word: str) -> bytes:
+        found = self.library.model.tokenize(space + word.translate(self.written))
+        return array("I", [t.id for t in found]).tobytes()
+
+    def _words(self, parts: list[tuple[str, str, str]]) -> list[bytes]:
+        """The ids of a word, the signs after it and the word after these, of each."""
+        known, found = self.known, []
+        for head, signs, tail in parts:
+            ids = known.get(head)
+            if ids is None:
+                ids = known[head] = self._word(self.space, head)
+                self.n_ids += len(ids) // 4
+            if signs:
+                after = known.get((signs,))
+                if after is None:
+                    after = known[(signs,)] = self._ids([signs])[0]
+                    self.n_ids += len(after) // 4
+                ids += after
+            if tail:
+                after = known.get((tail,))
+                ids += self._word("", tail) if after is None else after
+            found.append(ids)
+        return found
 
     def _trim(self) -> None:
         """Forgets all but the first pieces, or all if those are too long to keep."""
@@ -99,10 +144,11 @@ class Encoder:
         return [raw[a:b] for a, b in zip([0] + [end + 4 for end in ends], ends)]
 
     def _add(self, pieces: list) -> None:
-        plain, strung, single = [], [], []
+        plain, parts, strung, single = [], [], [], []
         for p in pieces:
-            if self.space is not None and type(p) is str and p.isalpha() and p.isascii() and p.islower():
+            if self.space is not None and type(p) is str and (words := _WORDS.fullmatch(p)):
                 plain.append(p)
+                parts.append(words.groups())
                 continue
             fits = type(p) is str and p and MARK not in p and not p[0].isspace()
             if fits and (p[-1].isalpha() or p[-1] in _ENDS):
@@ -113,9 +159,12 @@ class Encoder:
         if found is None:
             strung, single, found = [], strung + single, []
         found += self._ids([p[0] if type(p) is tuple else " " + p for p in single])
-        found += self._words(plain)
-        self.known.update(zip(strung + single + plain, found))
+        self.known.update(zip(strung + single, found))
         self.n_ids += sum(map(len, found)) // 4
+        for p, ids in zip(plain, self._words(parts)):
+            if p not in self.known:
+                self.known[p] = ids
+                self.n_ids += len(ids) // 4
 
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self.known) > MAX_PIECES or self.n_ids > MAX_IDS:

@@ -894,3 +894,24 @@ def test_plain_words_go_to_the_model_alone(name):
     encode._add(words)
     assert [np.frombuffer(encode.known[w], dtype=np.uint32).tolist() for w in words] == expected
     assert encode.n_ids == sum(map(len, expected))
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_with_signs_go_to_the_model_too(name):
+    """Latin letters, signs, an end of line and another word are looked up by themselves."""
+    encode = Encoder(queries.tokenizer(name))
+    words = ["Zebra.", "zebra,", "ciónllieasß", "at.\nFrom", "Éa&&&", "x\n", "f;?\nÿ", "at"]
+    expected = [encode.library.encode(" " + w, add_special_tokens=False).ids for w in words]
+    encode._strung = lambda pieces: pytest.fail("normalised and cut for nothing")
+    encode._add(words)
+    assert [np.frombuffer(encode.known[w], dtype=np.uint32).tolist() for w in words] == expected
+    assert encode.n_ids == sum(map(len, encode.known.values())) // 4
+
+
+@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
+def test_words_are_cut_only_where_the_vocabulary_cuts(name):
+    odd = ["a.\n\nb", "a\n\n", "a.\n b", "don't.\n'tis", "İstanbul.", "éa, e.́", "a<|endoftext|>b.", "a×b, ×.", "a.b\nc.d", "A,\nÀ\n.x"]
+    encode = Encoder(queries.tokenizer(name))
+    texts = [f"{t} x {t}" for t in odd]
+    whole = [e.ids for e in encode.library.encode_batch(texts, add_special_tokens=False)]
+    assert [a.tolist() for a in encode.encode(texts)] == whole
