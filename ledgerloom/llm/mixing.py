@@ -239,36 +239,41 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs``, each as often as the mixture takes it, to the nearest
     whole document (at most three times), in the order of the slots in which its epochs
     begin. Rows equal in doc_id, source and text are told apart by a number."""
-    nth = lambda order: F.row_number().over(W.partitionBy("doc_id", "content").orderBy(order))
+    same = ("id", "content")
+    row = F.struct(*[docs[c] for c in docs.columns])
     copies = (
         mix(docs)
-        .withColumn("nth", nth("row_id"))
         .where("size > 0")
         .withColumn("copies", F.round(F.try_divide("taken", "size")).cast("int"))
         .where("copies > 0")
         .select(
+            F.lit(None).cast(docs.select(row.alias("row")).schema["row"].dataType).alias("row"),
             F.col("doc_id").alias("id"),
             "content",
-            "nth",
-            F.explode(F.slice("starts", F.lit(1), F.col("copies"))).alias("slot"),
+            F.slice("starts", F.lit(1), F.col("copies")).alias("slots"),
         )
     )
-    rows = (
-        docs.select(
-            F.struct(*[docs[c] for c in docs.columns]).alias("row"),
-            docs["doc_id"].cast("long").alias("doc_id"),
-            _row_key(docs).alias("content"),
-        )
-        .withColumn("nth", nth("content"))
-        .withColumnRenamed("doc_id", "id")
-    )
-    same = (
-        rows["id"].eqNullSafe(copies["id"])
-        & (rows["content"] == copies["content"])
-        & (rows["nth"] == copies["nth"])
+    rows = docs.select(
+        row.alias("row"),
+        docs["doc_id"].cast("long").alias("id"),
+        _row_key(docs).alias("content"),
+        F.lit(None).cast("array<long>").alias("slots"),
     )
+    # The n-th of the equal rows gets the n-th of their lists of slots. Dealt out by what
+    # both windows share, the texts are shuffled once for them; a join on the number would
+    # shuffle them again.
+    is_row = F.col("slots").isNull()
+    nth = F.row_number().over(W.partitionBy(*same, is_row).orderBy("slots"))
+    given = F.max("slots").over(W.partitionBy(*same, "nth"))
     # A slot has one block of one source, so no slot is hot and the ranges are even.
-    placed = rows.join(copies, same).select("row", "slot", rows["id"], rows["content"])
+    placed = (
+        rows.unionByName(copies)
+        .repartition(*same)
+        .withColumn("nth", nth)
+        .withColumn("given", given)
+        .where("row IS NOT NULL AND given IS NOT NULL")
+        .select("row", F.explode("given").alias("slot"), *same)
+    )
     return placed.repartitionByRange("slot", "id", "content").sortWithinPartitions(
         "slot", "id", "content"
     ).select("row.*")

@@ -250,6 +250,20 @@ def test_mixture_comes_in_schedule_order(spark, docs, tmp_path):
             assert abs(own(rows[:n]) - own(rows) * size(rows[:n]) / size(rows)) <= 4 * longest
 
 
+def test_mixed_texts_are_dealt_out_once_before_their_order(spark):
+    """No shuffle by the number of equal rows, and each of these gets slots of its own."""
+    rows = [(1, "a b c", "x")] * 5 + [(2, f"d {'e ' * 20}", "y"), (None, "f g", None), (None, "f g", None), (3, None, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    mixed = mixing.mixed_documents(docs)
+    plan = mixed._jdf.queryExecution().executedPlan().toString().splitlines()
+    exchanges = [line for line in plan if "Exchange" in line]
+    assert exchanges and not [line for line in exchanges if "nth" in line]
+    wanted = collections.Counter()
+    for r in mixing.mix(docs).where("size > 0").collect():
+        wanted[r["doc_id"]] += round(r["taken"] / r["size"])
+    assert collections.Counter(r["doc_id"] for r in mixed.collect()) == +wanted
+
+
 def test_mixing_targets_by_hand(spark):
     rows = [("a", 10), ("b", 1000), ("c", 1000), (None, 1000)]
     sizes = spark.createDataFrame(
