@@ -4,6 +4,7 @@ Both vocabularies used here never join text across a space, unless it stands bet
 two blanks (or a blank and the end), where they may take blanks together. So a text is
 cut before its other spaces, and each piece is encoded by the tokenizers library once
 and looked up after that. Ids are the same as those of the uncut text (see the tests).
+Arrow cuts many texts at once, finds their different pieces, and strings the ids together.
 
 A call of the library costs more than a short piece, so new pieces are strung together
 with a digit after each. Neither vocabulary joins a digit to a letter or sign before it
@@ -27,6 +28,8 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 _BLANKS = [c for c in map(chr, range(0x3001)) if c.isspace()]
 _SAFE_SPACE = re.compile(r" (?=\S)")
@@ -41,20 +44,29 @@ _WORDS = re.compile(rf"([{_LETTERS}]+)([{re.escape(_SIGNS)}]*\n?)([{_LETTERS}]*)
 PIECES_AT_ONCE = 256
 #: Pieces kept in a worker, and their ids; beyond that only the first ones, which are
 #: the most frequent by and large, are kept.
-MAX_PIECES, FIRST_PIECES, MAX_IDS = 1_000_000, 300_000, 8_000_000
+MAX_PIECES, FIRST_PIECES, MAX_IDS = 1_000_000, 700_000, 8_000_000
 #: Characters that are encoded at once.
-CHARS_AT_ONCE = 1 << 17
+CHARS_AT_ONCE = 1 << 22
 
 
-def pieces_of(text: str) -> list:
-    """The pieces; all but the first, a 1-tuple, are without the space before them."""
+def _odd(text: str) -> bool:
+    """Whether a blank stands before a space somewhere."""
     # Looking for one character is much quicker than for two.
-    if any(c + " " in text for c in filter(text.__contains__, _BLANKS)):
-        pieces = _SAFE_SPACE.split(text)
+    return any(c + " " in text for c in filter(text.__contains__, _BLANKS))
+
+
+def _pieces(texts: list[str], odd: bool) -> tuple[pa.Array, np.ndarray]:
+    """The pieces of all texts, without the space before them, and the place of each
+    text's first piece, then that of the end."""
+    if odd:
+        lists = pa.array([_SAFE_SPACE.split(t) for t in texts], pa.large_list(pa.large_string()))
     else:
-        pieces = text.split(" ")
-    pieces[0] = (pieces[0],)
-    return pieces
+        lists = pc.split_pattern(pa.array(texts, pa.large_string()), " ")
+    return lists.flatten(), np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+
+
+def _strings(column: pa.Array) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()  # much quicker than to_pylist
 
 
 class Encoder:
@@ -98,18 +110,24 @@ class Encoder:
                 return None
         return space
 
-    def _word(self, space: str, word: str) -> bytes:
-        found = self.library.model.tokenize(space + word.translate(self.written))
-        return array("I", [t.id for t in found]).tobytes()
+    def _by_model(self, space: str, words: list[str]) -> list[bytes]:
+        """The ids of words of Latin letters, by the model alone."""
+        tokenize = self.library.model.tokenize
+        # All are written at once; no letter is written as an end of line.
+        written = "\n".join(words).translate(self.written).split("\n") if words else []
+        return [array("I", [t.id for t in tokenize(space + w)]).tobytes() for w in written]
 
     def _words(self, parts: list[tuple[str, str, str]]) -> list[bytes]:
         """The ids of a word, the signs after it and the word after these, of each."""
         known, found = self.known, []
+        heads = [h for h in dict.fromkeys([head for head, _, _ in parts]) if h not in known]
+        tails = list(dict.fromkeys([tail for _, _, tail in parts if tail and (tail,) not in known]))
+        for h, ids in zip(heads, self._by_model(self.space, heads)):
+            known[h] = ids
+            self.n_ids += len(ids) // 4
+        after_signs = dict(zip(tails, self._by_model("", tails)))
         for head, signs, tail in parts:
-            ids = known.get(head)
-            if ids is None:
-                ids = known[head] = self._word(self.space, head)
-                self.n_ids += len(ids) // 4
+            ids = known[head]
             if signs:
                 after = known.get((signs,))
                 if after is None:
@@ -117,8 +135,7 @@ class Encoder:
                     self.n_ids += len(after) // 4
                 ids += after
             if tail:
-                after = known.get((tail,))
-                ids += self._word("", tail) if after is None else after
+                ids += after_signs[tail] if tail in after_signs else known[(tail,)]
             found.append(ids)
         return found
 
@@ -146,10 +163,13 @@ class Encoder:
     def _add(self, pieces: list) -> None:
         plain, parts, strung, single = [], [], [], []
         for p in pieces:
-            if self.space is not None and type(p) is str and (words := _WORDS.fullmatch(p)):
-                plain.append(p)
-                parts.append(words.groups())
-                continue
+            if self.space is not None and type(p) is str:
+                # Most new pieces are one word: no need to match these.
+                words = (p, "", "") if p.isascii() and p.isalpha() else (m := _WORDS.fullmatch(p)) and m.groups()
+                if words:
+                    plain.append(p)
+                    parts.append(words)
+                    continue
             fits = type(p) is str and p and MARK not in p and not p[0].isspace()
             if fits and (p[-1].isalpha() or p[-1] in _ENDS):
                 strung.append(p)
@@ -166,21 +186,39 @@ class Encoder:
                 self.known[p] = ids
                 self.n_ids += len(ids) // 4
 
+    def _looked_up(self, texts: list[str], odd: bool) -> Iterator[np.ndarray]:
+        """The ids of each text. Each different piece is looked up in Python once."""
+        if not texts:
+            return
+        pieces, places = _pieces(texts, odd)
+        rest = np.ones(len(pieces), dtype=bool)
+        rest[places[:-1]] = False
+        coded = pieces.filter(pa.array(rest)).dictionary_encode()
+        # A text's first piece is a 1-tuple: it has no space before it.
+        keys = _strings(coded.dictionary)
+        codes = np.empty(len(pieces), dtype=np.int64)
+        codes[rest] = coded.indices.to_numpy()
+        codes[places[:-1]] = np.arange(len(keys), len(keys) + len(texts))
+        keys += [(first,) for first in _strings(pieces.take(pa.array(places[:-1])))]
+        found = list(map(self.known.get, keys))
+        if new := [i for i, ids in enumerate(found) if ids is None]:
+            self._add(list(dict.fromkeys([keys[i] for i in new])))
+            for i in new:
+                found[i] = self.known[keys[i]]
+        ids = pa.array(found, pa.large_binary()).take(pa.array(codes))
+        _, starts, raw = ids.buffers()
+        cuts = np.frombuffer(starts, dtype=np.int64)[places] // 4
+        whole = np.frombuffer(raw or b"", dtype=np.uint32)
+        for a, b in itertools.pairwise(cuts.tolist()):
+            yield whole[a:b]
+
     def _encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         if len(self.known) > MAX_PIECES or self.n_ids > MAX_IDS:
             self._trim()
-        pieces, ends = [], []
-        for text in texts:
-            pieces += pieces_of(text)
-            ends.append(len(pieces))
-        found = list(map(self.known.get, pieces))
-        new = [i for i, ids in enumerate(found) if ids is None]
-        if new:
-            self._add(list(dict.fromkeys([pieces[i] for i in new])))
-            for i in new:
-                found[i] = self.known[pieces[i]]
-        for a, b in zip([0] + ends, ends):
-            yield np.frombuffer(b"".join(found[a:b]), dtype=np.uint32)
+        odd = list(map(_odd, texts))
+        found = [self._looked_up([t for t, o in zip(texts, odd) if o == kind], kind) for kind in (False, True)]
+        for kind in odd:
+            yield next(found[kind])
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         some, chars = [], 0

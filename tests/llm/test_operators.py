@@ -306,6 +306,25 @@ def test_cached_pieces_give_the_ids_of_whole_texts(texts, name, monkeypatch):
         assert [a.tolist() for a in encode.encode(some)] == whole
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_a_piece_is_looked_up_once_for_many_texts(name):
+    """Not once for each place: texts are cut and joined outside of Python."""
+
+    class Counting(dict):
+        asked = 0
+
+        def get(self, key, default=None):
+            Counting.asked += 1
+            return super().get(key, default)
+
+    encode = Encoder(queries.tokenizer(name))
+    encode.known = Counting()
+    texts = ["go the cat and the dog " * 50, "go  odd the\n the " * 50, "", "the"] * 20
+    whole = [e.ids for e in encode.library.encode_batch(texts, add_special_tokens=False)]
+    assert [a.tolist() for a in encode.encode(texts)] == whole
+    assert 0 < Counting.asked < 1000
+
+
 def test_token_files_round_trip(spark, docs, texts):
     folder = new_folder(spark, "ids")
     path = queries.tokenizer("byte_bpe_50k.json")
