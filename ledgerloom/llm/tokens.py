@@ -44,9 +44,9 @@ _WORDS = re.compile(rf"([{_LETTERS}]+)([{re.escape(_SIGNS)}]*\n?)([{_LETTERS}]*)
 PIECES_AT_ONCE = 256
 #: Pieces kept in a worker, and their ids; beyond that only the first ones, which are
 #: the most frequent by and large, are kept.
-MAX_PIECES, FIRST_PIECES, MAX_IDS = 1_000_000, 700_000, 8_000_000
+MAX_PIECES, FIRST_PIECES, MAX_IDS = 1_000_000, 500_000, 8_000_000
 #: Characters that are encoded at once.
-CHARS_AT_ONCE = 1 << 22
+CHARS_AT_ONCE = 1 << 20
 
 
 def _odd(text: str) -> bool:
