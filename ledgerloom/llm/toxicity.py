@@ -46,8 +46,9 @@ PHRASES = ("kill yourself", "shut up", "go to hell", "i hate you", "drop dead",
 TRAIN_ROWS = 20_000
 #: Bound on the rows without a label that the classifier is fitted on as well.
 UNLABELLED_ROWS = 10_000
-#: Parts of their features' table.
-TRAIN_PARTS = 12
+#: Parts of their features' table, and those in which the classifiers read it: each part
+#: sends the driver a sum over all features, in each of their iterations.
+TRAIN_PARTS, FIT_PARTS = 12, 3
 MINED_TERMS = 100
 #: A mined term occurs in so many toxic training rows at least, and so purely.
 MINED_ROWS, MINED_PURITY = 3, 0.9
@@ -284,8 +285,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
         "toxic",
     )
     ready = HashingTF(**_HASH).transform(ready).drop("terms")
-    # Bounded by both limits; each iteration is a job over these few parts.
-    ready = stored(ready.coalesce(TRAIN_PARTS), "posteriors")
+    # Bounded by both limits; each iteration is a job over few parts, of one stage.
+    ready = stored(ready.coalesce(TRAIN_PARTS), "posteriors").coalesce(FIT_PARTS)
     # A soft label is both labels, weighted.
     sides = F.array(
         F.struct(F.lit(1.0).alias("label"), F.col("p").alias("weight")),
@@ -296,9 +297,10 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
         weightCol="weight", regParam=0.02, maxIter=40, standardization=False
     ).fit(both)
     linear.setProbabilityCol("").setPredictionCol("")
-    margins = VectorAssembler(inputCols=["margin"], outputCol="x").transform(
-        _margin(linear, ready.where("toxic IS NOT NULL")).select("margin", F.col("toxic").cast("double").alias("label"))
-    )
+    margins = _margin(linear, ready.where("toxic IS NOT NULL"))
+    # Stored: each job of the next fit would carry the classifier's coefficients to its tasks.
+    margins = stored(margins.select("margin", F.col("toxic").cast("double").alias("label")), "margins")
+    margins = VectorAssembler(inputCols=["margin"], outputCol="x").transform(margins)
     fitted = LogisticRegression(featuresCol="x", maxIter=30, regParam=1e-4, standardization=False).fit(margins)
     slope, shift = float(fitted.coefficients[0]), float(fitted.intercept)
     if slope <= 0:

@@ -27,7 +27,7 @@ from ledgerloom.llm import (
     toxicity,
     winnowing,
 )
-from ledgerloom.llm.shared import components, new_folder
+from ledgerloom.llm.shared import components, new_folder, stored
 from ledgerloom.llm.tokens import Encoder
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.01")
@@ -811,6 +811,31 @@ def test_label_model_finds_good_and_dependent_voters(spark):
     assert w[0] > w[2] > w[3] and w[1] < w[2] and w[1] == pytest.approx(w[4])
 
 
+def test_toxicity_fits_send_the_driver_little(spark, monkeypatch):
+    """Each iteration of the fits is a job: few parts, and no classifier in the second's tasks."""
+    fitted = []
+
+    class Recorded(toxicity.LogisticRegression):
+        def fit(self, rows):
+            fitted.append(rows)
+            return super().fit(rows)
+
+    monkeypatch.setattr(toxicity, "LogisticRegression", Recorded)
+    # Files of one row each would be read in many parts.
+    monkeypatch.setattr(toxicity, "stored", lambda df, name: stored(df.repartition(8), name))
+    some = [(i, f"some words{i} here idiot" if i % 5 == 0 else f"fine words{i} here") for i in range(60)]
+    rows = spark.createDataFrame(some, "doc_id long, text string")
+    labels = rows.select("doc_id", (F.col("doc_id") % 5 == 0).cast("int").alias("toxic"))
+    spark.conf.set("spark.sql.files.openCostInBytes", "1g")
+    try:
+        toxicity.fit(rows, labels)
+        first, second = fitted
+        assert first.rdd.getNumPartitions() <= 3
+        assert any("/margins-" in f for f in second.inputFiles())
+    finally:
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+
+
 def test_toxicity_odd_rows(spark, odd_docs, no_docs):
     labels = spark.createDataFrame([(1, 1, None), (1, 0, 0), (None, 1, 1), (2, 1, None)], "doc_id long, quality int, toxic int")
     for docs in (odd_docs, no_docs):
