@@ -46,8 +46,8 @@ PHRASES = ("kill yourself", "shut up", "go to hell", "i hate you", "drop dead",
 TRAIN_ROWS = 20_000
 #: Bound on the rows without a label that the classifier is fitted on as well.
 UNLABELLED_ROWS = 10_000
-#: Parts of their features' table, and those in which the classifiers read it: each part
-#: sends the driver a sum over all features, in each of their iterations.
+#: Parts of their features' table, and those in which the classifiers read it: in each of
+#: their iterations the sums of many parts are added up in a stage more, at the driver's cost.
 TRAIN_PARTS, FIT_PARTS = 12, 3
 MINED_TERMS = 100
 #: A mined term occurs in so many toxic training rows at least, and so purely.
@@ -285,7 +285,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
         "toxic",
     )
     ready = HashingTF(**_HASH).transform(ready).drop("terms")
-    # Bounded by both limits; each iteration is a job over few parts, of one stage.
+    # Bounded by both limits; each iteration is a job over these few parts.
     ready = stored(ready.coalesce(TRAIN_PARTS), "posteriors").coalesce(FIT_PARTS)
     # A soft label is both labels, weighted.
     sides = F.array(
