@@ -37,18 +37,11 @@ def store_layout(rows: DataFrame, entity: Entity, partitions: int | None = None)
 
     Ranges over the whole sort key cut a chain, and a block, into as many
     files as its rows need, each with a narrow min/max of block numbers.
-    Copies of a row, which no range could part, are gone before that.
+    Very many copies of a row, which no range could part, are cut down before that.
     """
     key = ["chain_name", *entity.store_order]
-    distinct = dedup_ingested(
-        rows.select(*entity.store_schema.names), entity.store_key, "ingestion_timestamp"
-    )
-    ranged = (
-        distinct.repartitionByRange(partitions, *key)
-        if partitions
-        else distinct.repartitionByRange(*key)
-    )
-    return ranged.sortWithinPartitions(*key)
+    rows = rows.select(*entity.store_schema.names)
+    return dedup_ingested(rows, entity.store_key, "ingestion_timestamp", key, partitions)
 
 
 def compacted_table(lake: Lake, entity: Entity) -> PartitionedTable:

@@ -416,3 +416,78 @@ def test_a_key_of_many_copies_is_cut_down_before_the_shuffle(spark, monkeypatch)
     assert {r.k: (-r["at"], r.v) for r in kept.collect()} == expected
     assert kept.count() == 102
     assert "EmptyRelation Join LeftSemi" not in plan
+
+
+# --- store layout -----------------------------------------------------------
+
+
+def mixed_copies(spark, entity):
+    """Rows whose copies differ in any column, the block and the ingestion time among them,
+    with nulls everywhere and keys that come once, often, and very often."""
+    columns = []
+    for i, (name, kind) in enumerate(entity.store_schema.simpleString()[7:-1].split(",")[j].split(":")
+                                     for j in range(len(entity.store_schema))):
+        number = f"pmod(xxhash64(id, {i}), {3 if name in ('chain_name', 'ingestion_timestamp') else 5})"
+        if name in ("tx_hash", "log_index"):
+            number = f"CASE WHEN id < 300 THEN 1000 ELSE pmod(xxhash64(id, {i}), 60) END"
+        text = f"concat('0x', {number})" if kind == "string" else number
+        columns.append(f"CAST(CASE WHEN pmod(xxhash64(id, {i}, 1), 9) > 0 THEN {text} END AS {kind}) AS {name}")
+    return spark.range(1500).selectExpr(*columns)
+
+
+def kept_by_hand(rows, entity):
+    """The copy of each key to keep, and the rows in the order of the store."""
+    names = entity.store_schema.names
+    rest = [c for c in names if c not in (*entity.store_key, "ingestion_timestamp")]
+    last, first = (lambda v: (v is None, v)), (lambda v: (v is not None, v))  # where nulls go
+    best = {}
+    for r in rows.collect():
+        at = r.ingestion_timestamp
+        rank = [last(None if at is None else -at), *[last(r[c]) for c in rest]]
+        key = tuple(r[c] for c in entity.store_key)
+        if key not in best or rank < best[key][0]:
+            best[key] = (rank, tuple(r))
+    order = [names.index(c) for c in ("chain_name", *entity.store_order)]
+    return sorted((r for _, r in best.values()), key=lambda r: [first(r[i]) for i in order])
+
+
+@pytest.mark.parametrize("entity", [BLOCKS, TRANSACTIONS, LOGS], ids=lambda e: e.table)
+@pytest.mark.parametrize("sliced", [False, True])
+@pytest.mark.parametrize("hot_rows", [1_000_000, 100])
+def test_store_layout_keeps_one_copy_wherever_copies_lie(spark, monkeypatch, entity, sliced, hot_rows):
+    monkeypatch.setattr(dedup, "HOT_ROWS", hot_rows)
+    if sliced:
+        for name, value in {"SORTED_BYTES": 20_000, "SAMPLED_FROM": 100, "UNSORTED_PARTITIONS": 5}.items():
+            monkeypatch.setattr(dedup, name, value)
+    rows = mixed_copies(spark, entity).localCheckpoint()
+    placed = {}
+    for r in rows.collect():
+        placed.setdefault(tuple(r[c] for c in entity.store_key), set()).add(tuple(r[c] for c in entity.store_order))
+    assert any(len(places) > 1 for places in placed.values()) == (entity is not BLOCKS)
+    laid_out = compaction.store_layout(rows, entity)
+    assert [tuple(r) for r in laid_out.collect()] == kept_by_hand(rows, entity)
+    if sliced:
+        assert 5 < laid_out.rdd.getNumPartitions() and "Union" in plan_of(laid_out)
+
+
+def test_store_layout_shuffles_whole_rows_once(spark):
+    rows = store_rows(spark)
+    again = rows.withColumn("ingestion_timestamp", F.lit(9).cast("long"))
+    laid_out = compaction.store_layout(rows.unionByName(again), TRANSACTIONS)
+    plan = final_plan(laid_out)
+    above, under = plan.split("Exchange rangepartitioning")
+    assert above.count("Sort [") == 1, "once for the copies and the layout"
+    of_all, of_many = under.split("Exchange hashpartitioning(chain_name")  # else by key, and again by range
+    assert "EmptyRelation" not in of_all and "EmptyRelation" in of_many
+
+
+def test_store_layout_cuts_by_size_not_by_session(spark, monkeypatch):
+    monkeypatch.setattr(dedup, "SORTED_BYTES", 1 << 20)
+    rows = spark.range(120_000).selectExpr(
+        "'eth' AS chain_name", "CAST(id AS STRING) AS tx_hash", "id AS block_number", "'0x' AS block_hash",
+        "'a' AS from_address", "'b' AS to_address", "'1' AS value", "id AS timestamp", "id AS ingestion_timestamp",
+    )
+    laid_out = compaction.store_layout(rows, TRANSACTIONS)
+    sizes = laid_out.groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 20 and max(r["count"] for r in sizes) < 12_000, "8 partitions in this session"
+    assert laid_out.count() == 120_000
